@@ -45,7 +45,7 @@ def query(name: str, sql: str | None = None):
 
 
 def all_queries() -> dict[str, Query]:
-    from commerce_lake.catalog import dimensions, events, expressions, live, marts, relational, replay, streams
+    from commerce_lake.catalog import dimensions, events, expressions, live, marts, relational, streams
 
-    assert all((dimensions, events, expressions, live, marts, relational, replay, streams))
+    assert all((dimensions, events, expressions, live, marts, relational, streams))
     return dict(REGISTRY)

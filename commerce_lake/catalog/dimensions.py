@@ -45,7 +45,7 @@ for _name in TABLES:
 
 
 def silver(fx, name):
-    return to_silver(fx[name])
+    return fx.once(("silver", name), lambda: to_silver(fx[name]))
 
 
 def _register_silver(name: str) -> None:
@@ -78,11 +78,13 @@ def changes(fx, dim):
 
 def after_days(fx, dim, days=DAYS):
     """Initial load plus the changes of some days."""
-    log = changes(fx, dim)
-    snapshot = initial(fx, dim)
-    for day in days:
-        snapshot = scd2.apply_day(dim, snapshot, log, day)
-    return snapshot
+    if not days:
+        return initial(fx, dim)
+    *before, day = days
+    return fx.once(
+        (dim.name, days),
+        lambda: scd2.apply_day(dim, after_days(fx, dim, tuple(before)), changes(fx, dim), day),
+    )
 
 
 def _add_dimension_views(dim: scd2.Dimension) -> None:

@@ -47,7 +47,7 @@ def _today_in_tz(fx):
         GROUP BY 1 ORDER BY 1""",
 )
 def _order_revenue(fx):
-    return live.order_revenue(fx["order"], fx["order_item"], AS_OF)
+    return live.order_revenue(fx["order"], fx["item_line"], AS_OF)
 
 
 @query(
@@ -69,7 +69,7 @@ def _unique_user(fx):
         GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""",
 )
 def _top_selling_product(fx):
-    return live.top_selling_product(fx["order"], fx["order_item"], fx["product"], AS_OF)
+    return live.top_selling_product(fx["order"], fx["item_line"], fx["product"], AS_OF)
 
 
 @query(
@@ -90,7 +90,7 @@ def _payment_failure_rate(fx):
         GROUP BY 1 HAVING sum(i.price * i.quantity) > 400""",
 )
 def _abnormal_order(fx):
-    return live.abnormal_order(fx["order"], fx["order_item"], AS_OF, lookback="24 hours")
+    return live.abnormal_order(fx["order"], fx["item_line"], AS_OF, lookback="24 hours")
 
 
 @query(

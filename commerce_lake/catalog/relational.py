@@ -23,7 +23,7 @@ from commerce_lake.sources.cdc import with_day
         FROM t_order_item WHERE CAST(updated_at AS DATE) = DATE '{DAY}'""",
 )
 def _scan_day(fx):
-    items = with_day(fx["order_item"]).select("order_item_id", "order_id", "updated_at", "updated_date")
+    items = with_day(fx["item_line"]).select("order_item_id", "order_id", "updated_at", "updated_date")
     return tables.scan_day(items, DAY)
 
 
@@ -151,7 +151,7 @@ def _lateral_fanout(fx):
 )
 def _review_candidates(fx):
     done = fx["order"].where((F.col("_seq") == 2) & (F.col("order_status") == "completed")).select("order_id", "user_id")
-    items = sampling.bernoulli_sample(fx["order_item"], "order_item_id", 0.8)
+    items = sampling.bernoulli_sample(fx["item_line"], "order_item_id", 0.8)
     return done.join(items, "order_id").select("order_item_id", "product_id", "user_id")
 
 
@@ -175,7 +175,7 @@ def _count_distinct_multi(fx):
               CAST(sum(price * quantity) AS DECIMAL(38,2)) AS revenue FROM t_order_item GROUP BY 1""",
 )
 def _sum_revenue(fx):
-    return fx["order_item"].groupBy("product_id").agg(
+    return fx["item_line"].groupBy("product_id").agg(
         F.sum("quantity").cast("bigint").alias("quantity"),
         exact_sum(line_value(F.col("price"), F.col("quantity"))).alias("revenue"),
     )
@@ -222,7 +222,7 @@ def _count_distinct_if(fx):
 
 @query("dq_unique", "SELECT order_item_id, count(*) AS row_count FROM t_order_item GROUP BY 1 HAVING count(*) > 1")
 def _dq_unique(fx):
-    return quality.duplicate_keys(fx["order_item"], ["order_item_id"])
+    return quality.duplicate_keys(fx["item_line"], ["order_item_id"])
 
 
 def _orphan_sql(child: str, column: str, parent: str, key: str) -> str:
@@ -260,7 +260,7 @@ def _dq_foreign_key(fx):
     "SELECT order_item_id, quantity FROM t_order_item WHERE NOT (quantity BETWEEN 1 AND 45)",
 )
 def _dq_range(fx):
-    return quality.out_of_range(fx["order_item"], "quantity", 1, 45).select("order_item_id", "quantity")
+    return quality.out_of_range(fx["item_line"], "quantity", 1, 45).select("order_item_id", "quantity")
 
 
 @query(

@@ -1 +1,147 @@
-"""Placeholder."""
+"""Streaming queries: a table is read as a stream, drained, and its sink read back.
+
+Each run writes to a fresh folder below the shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from commerce_lake.catalog import query
+from commerce_lake.catalog.views import LATEST_ORDER
+from commerce_lake.fixtures import order_versions
+from commerce_lake.operators.dedup import latest_by_key
+from commerce_lake.schemas import TABLES
+from commerce_lake.session import rocksdb_state, work_dir
+from commerce_lake.sources import cdc
+from commerce_lake.streaming import alerts, dedup
+from commerce_lake.streaming.sinks import read_batches, read_newest, write_batches
+
+
+def table_stream(fx, name: str) -> DataFrame:
+    """A table of the data set, file or folder, as a stream (the brackets make it a path pattern)."""
+    schema = fx.source(name).schema
+    return fx.spark.readStream.schema(schema).parquet(f"{fx.folder}/{name}.[p]arquet")
+
+
+def drain(
+    fx,
+    stream: DataFrame,
+    purpose: str,
+    each: Callable[[DataFrame], DataFrame] | None = None,
+    mode: str = "append",
+    newest: str | Sequence[str] | None = None,
+    version: Sequence[str] = (),
+) -> DataFrame:
+    base = work_dir(fx.spark, purpose)
+    with rocksdb_state(fx.spark):
+        run = write_batches(
+            stream, f"{base}/table", f"{base}/checkpoint", each=each, output_mode=mode, once=True
+        )
+        run.awaitTermination()
+    if newest is None:
+        return read_batches(fx.spark, f"{base}/table", stream.schema).drop("batch_id")
+    return read_newest(fx.spark, f"{base}/table", stream.schema, newest, version)
+
+
+def _order_stream(fx) -> DataFrame:
+    return order_versions(table_stream(fx, "orders"))
+
+
+@query("bronze_append", "SELECT * FROM t_order")
+def _bronze_append(fx):
+    """Every change event becomes a bronze row, none is removed."""
+    spec = TABLES["order"]
+    events = cdc.to_json_events(_order_stream(fx), spec)
+    return drain(fx, cdc.json_to_bronze(events, spec), "bronze_append")
+
+
+@query("last_seen_dedup", f"SELECT * FROM {LATEST_ORDER}")
+def _last_seen_dedup(fx):
+    """Newest version per micro-batch in the sink, newest of all when read."""
+    return drain(
+        fx,
+        _order_stream(fx),
+        "last_seen",
+        each=lambda batch: latest_by_key(batch, "order_id"),
+        newest="order_id",
+        version=["updated_at", "_seq"],
+    )
+
+
+@query("newest_by_state", f"SELECT * FROM {LATEST_ORDER}")
+def _newest_by_state(fx):
+    """Newest version per key kept in streaming state."""
+    stream = dedup.newest_by_state(_order_stream(fx), "order_id")
+    return drain(fx, stream, "newest_by_state", mode="update", newest="order_id")
+
+
+@query(
+    "drop_redeliveries",
+    "SELECT DISTINCT order_id, user_id, order_status, total_amount, created_at, updated_at FROM t_order",
+)
+def _drop_redeliveries(fx):
+    """Every event is delivered twice; one copy remains."""
+    twice = _order_stream(fx).drop("_seq").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return drain(fx, dedup.drop_redeliveries(twice, ["order_id", "updated_at", "order_status"]), "redeliveries")
+
+
+@query(
+    "stream_abnormal_payment",
+    """SELECT user_id, count(*) AS failed_count, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+              time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end
+       FROM events WHERE event_type = 'error' GROUP BY 1, 3, 4 HAVING count(*) >= 2""",
+)
+def _stream_abnormal_payment(fx):
+    """Error events as failed payments, counted per user and day."""
+    payments = table_stream(fx, "events").select(
+        "user_id",
+        F.when(F.col("event_type") == "error", "failed").otherwise("completed").alias("status"),
+        F.col("ts").cast("timestamp").alias("payment_date"),
+    )
+    stream = alerts.abnormal_payment(payments, threshold=2, slot="1 day")
+    return drain(fx, stream, "abnormal_payment", mode="update", newest=["user_id", "window_start"])
+
+
+@query(
+    "stream_abnormal_order",
+    """SELECT user_id, window_start, window_start + INTERVAL 15 MINUTE AS window_end,
+              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_order_value
+       FROM (SELECT user_id, value, date_trunc('minute', ts) - to_minutes(CAST(unnest(range(0, 15)) AS INTEGER)) AS window_start
+             FROM events WHERE event_type = 'purchase')
+       GROUP BY 1, 2 HAVING sum(CAST(value AS DECIMAL(18,2))) > 40""",
+)
+def _stream_abnormal_order(fx):
+    """Purchase events as orders: value per user over fifteen minutes, moved by one minute."""
+    orders = (
+        table_stream(fx, "events")
+        .where(F.col("event_type") == "purchase")
+        .select(
+            "user_id",
+            F.col("ts").cast("timestamp").alias("created_at"),
+            F.col("value").cast("decimal(18,2)").alias("order_value"),
+        )
+    )
+    stream = alerts.abnormal_order(orders, threshold=40)
+    return drain(fx, stream, "abnormal_order", mode="update", newest=["user_id", "window_start"])
+
+
+@query(
+    "stream_stuck_order",
+    """SELECT order_id, created_at, date_trunc('hour', created_at) + INTERVAL 2 HOUR AS alert_time
+       FROM t_order c
+       WHERE _seq = 1
+         AND created_at + INTERVAL 2 HOUR + INTERVAL 10 MINUTE < (
+           SELECT least(max(created_at), max(updated_at) FILTER (order_status <> 'created')) FROM t_order)
+         AND NOT EXISTS (SELECT 1 FROM t_order e WHERE e.order_id = c.order_id AND e.order_status <> 'created'
+                         AND e.updated_at >= c.created_at
+                         AND e.updated_at < date_trunc('hour', c.created_at) + INTERVAL 2 HOUR)""",
+)
+def _stream_stuck_order(fx):
+    """Orders without an end event before their deadline, once the watermark has passed it."""
+    created = _order_stream(fx).where(F.col("_seq") == 1)
+    ended = _order_stream(fx).where(F.col("order_status").isin("completed", "cancelled"))
+    return drain(fx, alerts.stuck_order(created, ended), "stuck_order")

@@ -62,17 +62,27 @@ def order_versions(orders: DataFrame) -> DataFrame:
 
 
 class Fixtures:
-    """Lazily derived tables; nothing runs until a result is asked for."""
+    """Lazily derived tables; nothing runs until a result is asked for.
+
+    Plans, not data, are remembered: a table used several times in one query is
+    analysed once, and its shuffles can be reused.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = use_utc(spark)
         self.folder = folder
+        self._plans: dict[object, DataFrame] = {}
+
+    def once(self, key: object, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._plans:
+            self._plans[key] = build()
+        return self._plans[key]
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.once(("source", name), lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def __getitem__(self, name: str) -> DataFrame:
-        return _TABLES[name](self)
+        return self.once(name, lambda: _TABLES[name](self))
 
     def bronze(self) -> dict[str, DataFrame]:
         return {name: self[name] for name in TABLES}
@@ -131,10 +141,10 @@ def final_orders(fx: Fixtures) -> DataFrame:
     return fx["order"].where(F.col(SEQ) == 2)
 
 
-def _order_item(fx: Fixtures) -> DataFrame:
-    created = fx["order"].where(F.col(SEQ) == 1).select("order_id", "created_at")
+def _item_line(fx: Fixtures) -> DataFrame:
+    """Order items without creation time, which only the order knows."""
     price = _money("l_extendedprice")
-    lines = fx.source("lineitem").select(
+    return fx.source("lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -143,7 +153,11 @@ def _order_item(fx: Fixtures) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("updated_at"),
         (F.col("l_suppkey") * 1_000_000_000 + (price * 100).cast("bigint")).alias(SEQ),
     )
-    return lines.join(created, "order_id").select(*TABLES["order_item"].columns, SEQ)
+
+
+def _order_item(fx: Fixtures) -> DataFrame:
+    created = final_orders(fx).select("order_id", "created_at")
+    return fx["item_line"].join(created, "order_id").select(*TABLES["order_item"].columns, SEQ)
 
 
 def _payment(fx: Fixtures) -> DataFrame:
@@ -286,6 +300,7 @@ _TABLES: dict[str, Callable[[Fixtures], DataFrame]] = {
     "category": _category,
     "product": _product,
     "order": _order,
+    "item_line": _item_line,
     "order_item": _order_item,
     "payment": _payment,
     "shipping": _shipping,

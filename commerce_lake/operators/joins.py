@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from commerce_lake.functions.time import as_date
 
 _MATCHED = "_matched"
+_SALT = "_salt"
 
 
 def valid_at(
@@ -70,29 +71,22 @@ def left_join_default(
     right: DataFrame,
     on: str | list[str],
     defaults: Mapping[str, object],
-    hot_right: bool = False,
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Left join whose unmatched rows carry type defaults instead of NULL.
 
     Only columns named in `defaults` are filled and only on unmatched rows: a
     NULL that stands in a matched right row survives.
 
-    AQE can split a hot key on the preserved side of an outer join only. With
-    `hot_right` the join is written as inner join plus anti join on the distinct
-    right keys; AQE may split either side of the inner join, and the distinct
-    keys are combined before their shuffle. Use it where the right side may hold
-    very many rows of one key.
+    AQE can split a hot key of an outer join on the preserved side only. Where
+    the right side may hold very many rows of one key, name a column in
+    `spread_by` that tells those rows apart (it is not part of the result): they
+    are then dealt over all partitions by its hash.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if hot_right:
-        matched = left.join(right, on, "inner")
-        missing = left.join(right.select(*on).distinct(), on, "left_anti")
-        filled = [
-            F.lit(defaults.get(f.name)).cast(f.dataType).alias(f.name)
-            for f in right.schema.fields
-            if f.name not in on
-        ]
-        return matched.unionByName(missing.select("*", *filled))
+    if spread_by is not None:
+        left, right = _deal_rows(left, right, on, spread_by)
+        return left_join_default(left, right, [*on, _SALT], defaults).drop(_SALT)
     marked = right.withColumn(_MATCHED, F.lit(True))
     types = {f.name: f.dataType for f in right.schema.fields}
     filled = {
@@ -100,3 +94,21 @@ def left_join_default(
         for name, value in defaults.items()
     }
     return left.join(marked, on, "left").withColumns(filled).drop(_MATCHED)
+
+
+def _deal_rows(
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: str
+) -> tuple[DataFrame, DataFrame]:
+    """Add a salt to both sides so that each left row meets each right row once.
+
+    A left row is repeated for exactly the salts its key has on the right, so a
+    repeated row always finds a match and an unmatched row stays single. The
+    salt set of a key is at most as long as there are shuffle partitions and is
+    combined before its shuffle.
+    """
+    buckets = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(buckets)).cast("int")
+    salted = right.withColumn(_SALT, salt).drop(spread_by)
+    present = salted.groupBy(*on).agg(F.collect_set(_SALT).alias("_salts"))
+    reaching = left.join(present, on, "left").withColumn(_SALT, F.explode_outer("_salts")).drop("_salts")
+    return reaching, salted

@@ -46,7 +46,8 @@ class Lake:
     def read_bronze(self, spec: TableSpec, tier: str) -> DataFrame:
         """Bronze with its declared schema: no footer is read to infer one."""
         schema = spec.bronze_schema().add(SEQ, "bigint").add(DAY, "date")
-        return self.spark.read.schema(schema).parquet(self.path(f"bronze_{tier}_{spec.name}"))
+        table = self.spark.read.schema(schema).parquet(self.path(f"bronze_{tier}_{spec.name}"))
+        return table.select(*schema.names)
 
     def write(self, df: DataFrame, table: str, column: str, sort: list[str]) -> None:
         tables.overwrite_partitions(df, self.path(table), column, sort)

@@ -51,17 +51,17 @@ def fact_order(
     rows = asof_inner(todays, dim_user, "user_id", F.to_date(created), ["user_key"]).drop("user_id")
     rows = left_join_default(
         rows,
-        shipping.select("order_id", "postal_code", "country", "city"),
+        shipping.select("order_id", "shipping_id", "postal_code", "country", "city"),
         "order_id",
         {"postal_code": "", "country": "", "city": ""},
-        hot_right=True,
+        spread_by="shipping_id",
     )
     rows = left_join_default(
         rows,
-        payment.select("order_id", "payment_method"),
+        payment.select("order_id", "payment_id", "payment_method"),
         "order_id",
         {"payment_method": ""},
-        hot_right=True,
+        spread_by="payment_id",
     )
 
     def event(condition, label, completed_time):
