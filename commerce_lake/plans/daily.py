@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructType
 
 from commerce_lake.functions.time import as_date
 from commerce_lake.operators import scd2
@@ -21,6 +22,9 @@ from commerce_lake.schemas import DAY, SEQ, TABLES, TableSpec
 from commerce_lake.sources import tables
 
 
+_LOADS_SCHEMA = "dimension string, load_date date"
+
+
 class AlreadyProcessed(RuntimeError):
     """The day, or a later one, is already in the target table."""
 
@@ -41,11 +45,15 @@ class Lake:
         return tables.exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """A fact, mart or load log with its declared schema; empty if never written."""
+        schema = facts.SCHEMAS.get(table) or marts.SCHEMAS.get(table) or _LOADS_SCHEMA
+        if not self.exists(table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def read_bronze(self, spec: TableSpec, tier: str) -> DataFrame:
         """Bronze with its declared schema: no footer is read to infer one."""
-        schema = spec.bronze_schema().add(SEQ, "bigint").add(DAY, "date")
+        schema = spec.bronze_schema().add(SEQ, LongType()).add(DAY, DateType())
         table = self.spark.read.schema(schema).parquet(self.path(f"bronze_{tier}_{spec.name}"))
         return table.select(*schema.names)
 
@@ -83,10 +91,10 @@ def build_silver(lake: Lake, spec: TableSpec, day: dt.date | str, dedup: bool =
     lake.write(silver, spec.silver, DAY, ["updated_time"])
 
 
-def silver_schema(spec: TableSpec):
+def silver_schema(spec: TableSpec) -> StructType:
     """Declared silver schema, the projection of the bronze one."""
-    empty = SparkSession.active().createDataFrame([], spec.bronze_schema().add(SEQ, "bigint"))
-    return to_silver(empty).schema.add(DAY, "date")
+    empty = SparkSession.active().createDataFrame([], spec.bronze_schema().add(SEQ, LongType()))
+    return to_silver(empty).schema.add(DAY, DateType())
 
 
 def read_silver(lake: Lake, name: str, until: dt.date | str) -> DataFrame:
@@ -117,8 +125,6 @@ def _version_schema(dim: scd2.Dimension) -> str:
 
 def last_load(lake: Lake, dim: scd2.Dimension) -> dt.date | None:
     """Newest finished load day, from the load log (one row per load)."""
-    if not lake.exists(_loads(dim)):
-        return None
     return lake.read(_loads(dim)).agg(F.max("load_date")).first()[0]
 
 
@@ -176,7 +182,7 @@ def load_dimension(lake: Lake, dim: scd2.Dimension, day: dt.date | str, rerun: b
 
 def _load_day(lake: Lake, table: str, build, day: dt.date | str, sort: list[str], rerun: bool) -> None:
     """Write one day's partition of a fact or mart, refusing a day already present."""
-    if not rerun and lake.exists(table):
+    if not rerun:
         present = lake.read(table).where(F.col("date_key") == as_date(day))
         if not present.isEmpty():
             raise AlreadyProcessed(f"{table}: {day} already processed")
@@ -225,16 +231,9 @@ def load_facts(lake: Lake, day: dt.date | str, rerun: bool = False) -> None:
     )
 
 
-def _read_fact(lake: Lake, table: str) -> DataFrame:
-    schema = facts.SCHEMAS[table]
-    if not lake.exists(table):
-        return lake.spark.createDataFrame([], schema)
-    return lake.spark.read.schema(schema).parquet(lake.path(table))
-
-
 def load_marts(lake: Lake, day: dt.date | str, rerun: bool = False) -> None:
-    fact = _read_fact(lake, "fact_order")
-    detail = _read_fact(lake, "fact_order_detail")
+    fact = lake.read("fact_order")
+    detail = lake.read("fact_order_detail")
     _load_day(
         lake,
         "daily_transaction",

@@ -13,6 +13,14 @@ from commerce_lake.operators.joins import left_join_default
 
 Day = dt.date | str
 
+SCHEMAS = {
+    "daily_transaction": (
+        "order_status string, payment_method string, category string, country string, city string, "
+        "total_order bigint, total_user bigint, items_sold bigint, total_revenue decimal(38,2), date_key date"
+    ),
+    "daily_user": "active_user bigint, new_user bigint, date_key date",
+}
+
 
 def daily_transaction(
     fact_order: DataFrame,

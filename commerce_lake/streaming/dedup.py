@@ -44,13 +44,12 @@ def newest_by_state(stream: DataFrame, key: str, version: str = "updated_at") ->
 class _SuppressOlder(StatefulProcessor):
     """Passes a row on only if it is newer than the last one passed for its key."""
 
-    def __init__(self, version: str, ttl_ms: int):
+    def __init__(self, version: str):
         self.version = version
-        self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
         schema = T.StructType([T.StructField("seen", T.TimestampType())])
-        self.seen = handle.getValueState("seen", schema, self.ttl_ms)
+        self.seen = handle.getValueState("seen", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = pd.Timestamp(self.seen.get()[0]) if self.seen.exists() else None
@@ -68,10 +67,11 @@ class _SuppressOlder(StatefulProcessor):
         pass
 
 
-def suppress_older(stream: DataFrame, key: str, version: str = "updated_at", ttl_hours: int = 24) -> DataFrame:
-    """Forward versions in increasing order per key; state expires after `ttl_hours` without change.
+def suppress_older(stream: DataFrame, key: str, version: str = "updated_at") -> DataFrame:
+    """Forward versions in increasing order per key and drop those that arrive too late.
 
-    The state is one timestamp per key. Needs the RocksDB state store.
+    The state is one timestamp per key, kept for good: state with a lifetime
+    needs processing-time mode, in which a run that drains its source would
+    never end. Needs the RocksDB state store.
     """
-    processor = _SuppressOlder(version, ttl_hours * 3_600_000)
-    return stream.groupBy(key).transformWithStateInPandas(processor, stream.schema, "Append", "ProcessingTime")
+    return stream.groupBy(key).transformWithStateInPandas(_SuppressOlder(version), stream.schema, "Append", "None")
