@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from commerce_lake.catalog import DAY, query
-from commerce_lake.catalog.dimensions import after_days, silver
+from commerce_lake.catalog.dimensions import silver, stored_dimension
 from commerce_lake.catalog.views import VIEWS, latest
 from commerce_lake.operators import scd2
 from commerce_lake.operators.dedup import latest_by_key
@@ -69,7 +69,7 @@ def newest(fx, name, key):
 def fact_order(fx, day=DAY):
     return facts.fact_order(
         newest(fx, "order", "order_id"),
-        after_days(fx, scd2.DIM_USER),
+        stored_dimension(fx, scd2.DIM_USER),
         silver(fx, "shipping"),
         silver(fx, "payment"),
         day,
@@ -79,8 +79,8 @@ def fact_order(fx, day=DAY):
 def fact_order_detail(fx, day=DAY):
     return facts.fact_order_detail(
         newest(fx, "order_item", "order_item_id"),
-        after_days(fx, scd2.DIM_PRODUCT),
-        after_days(fx, scd2.DIM_CATEGORY),
+        stored_dimension(fx, scd2.DIM_PRODUCT),
+        stored_dimension(fx, scd2.DIM_CATEGORY),
         day,
     )
 
@@ -108,7 +108,7 @@ def _fact_order_detail(fx):
 )
 def _daily_transaction(fx):
     detail = fact_order_detail(fx).unionByName(fact_order_detail(fx, _EVE))
-    return marts.daily_transaction(fact_order(fx), detail, after_days(fx, scd2.DIM_CATEGORY), DAY)
+    return marts.daily_transaction(fact_order(fx), detail, stored_dimension(fx, scd2.DIM_CATEGORY), DAY)
 
 
 @query(
@@ -118,7 +118,7 @@ def _daily_transaction(fx):
        FROM f_order fo JOIN dim_user_3 du ON fo.user_key = du.user_key GROUP BY 1""",
 )
 def _daily_user(fx):
-    return marts.daily_user(fact_order(fx), after_days(fx, scd2.DIM_USER), DAY)
+    return marts.daily_user(fact_order(fx), stored_dimension(fx, scd2.DIM_USER), DAY)
 
 
 @query(
@@ -130,7 +130,7 @@ def _daily_user(fx):
 def _asof_dim_inner(fx):
     orders = newest(fx, "order", "order_id").select("order_id", "user_id", "updated_time")
     at = F.to_date("updated_time")
-    rows = asof_inner(orders, after_days(fx, scd2.DIM_USER), "user_id", at, ["user_key", "phone"])
+    rows = asof_inner(orders, stored_dimension(fx, scd2.DIM_USER), "user_id", at, ["user_key", "phone"])
     return rows.select("order_id", "user_key", "phone")
 
 
@@ -143,7 +143,7 @@ def _asof_dim_inner(fx):
 )
 def _asof_dim_left(fx):
     items = newest(fx, "order_item", "order_item_id").select("order_item_id", "product_id")
-    dim = after_days(fx, scd2.DIM_PRODUCT).withColumnRenamed("price_amount", "list_price")
+    dim = stored_dimension(fx, scd2.DIM_PRODUCT).withColumnRenamed("price_amount", "list_price")
     columns = ["product_key", "list_price"]
     rows = asof_left(items, dim, "product_id", DAY, columns, {"product_key": "", "list_price": 0})
     return rows.select("order_item_id", *columns)

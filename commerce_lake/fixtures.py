@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from commerce_lake.functions.text import padded_number
 from commerce_lake.operators.sampling import bernoulli_sample
 from commerce_lake.schemas import LAKE_DECIMAL, SEQ, TABLES
-from commerce_lake.session import use_utc
+from commerce_lake.session import use_utc, work_dir
 
 REVIEW_SHARE = 0.8
 
@@ -78,6 +78,20 @@ class Fixtures:
             self._plans[key] = build()
         return self._plans[key]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table written once to the shared folder and read back.
+
+        Dimensions are stored tables for the facts that use them; written, their
+        history is computed once however many joins refer to it.
+        """
+
+        def write() -> DataFrame:
+            path, df = work_dir(self.spark, name), build()
+            df.write.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return self.once(("stored", name), write)
+
     def source(self, name: str) -> DataFrame:
         return self.once(("source", name), lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 

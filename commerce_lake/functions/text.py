@@ -20,7 +20,7 @@ def capitalize_name(c: Column) -> Column:
     A word starts after any character that is neither letter nor digit, which
     Spark's `initcap` (blank-separated words only) does not cover.
     """
-    pieces = F.split(F.lower(c), r"(?<=[^\p{L}\p{N}])")
+    pieces = F.split(F.lower(c), r"(?<=[^\p{L}\p{N}])(?=\p{L})")
     raised = F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
     return F.array_join(raised, "")
 

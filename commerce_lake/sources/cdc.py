@@ -25,15 +25,9 @@ _WIRE = {
 
 
 def envelope_schema(spec: TableSpec) -> T.StructType:
+    """The part of an event that is read; the parser skips the rest."""
     record = T.StructType([T.StructField(f.name, _WIRE[f.base]) for f in spec.fields])
-    return T.StructType(
-        [
-            T.StructField("before", record),
-            T.StructField("after", record),
-            T.StructField("op", T.StringType()),
-            T.StructField("ts_ms", T.LongType()),
-        ]
-    )
+    return T.StructType([T.StructField("after", record)])
 
 
 def _wire_value(df: DataFrame, name: str, base: str) -> Column:
@@ -57,9 +51,13 @@ def to_json_events(rows: DataFrame, spec: TableSpec, deleted: Column | None = No
 
 
 def parse_json_events(events: DataFrame, spec: TableSpec) -> DataFrame:
-    """`value` text to an `after` struct; other columns pass through."""
+    """`value` text to an `after` struct; other columns pass through.
+
+    The struct leaves through a one-element explode. A filter on it cannot move
+    below that, where it would parse every event a second time.
+    """
     parsed = F.from_json(F.col("value").cast("string"), envelope_schema(spec))
-    return events.withColumn("after", parsed["after"]).drop("value")
+    return events.withColumn("after", F.explode(F.array(parsed["after"]))).drop("value")
 
 
 def drop_deletes(events: DataFrame) -> DataFrame:
