@@ -87,10 +87,6 @@ def after_days(fx, dim, days=DAYS):
     )
 
 
-def stored_dimension(fx, dim):
-    return fx.stored(dim.name, lambda: after_days(fx, dim))
-
-
 def _add_dimension_views(dim: scd2.Dimension) -> None:
     attributes = _ATTRIBUTES[dim.name]
     plain = ", ".join(n for n, _ in dim.attributes)

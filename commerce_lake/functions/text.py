@@ -11,7 +11,7 @@ KEPT_CHARACTERS = r"A-Za-z0-9\s,.\";:!?()_&%$#@"
 
 def clean_string(c: Column) -> Column:
     """Drop every character outside the kept set, then leading blanks."""
-    return F.ltrim(F.regexp_replace(c, f"[^{KEPT_CHARACTERS}]", ""))
+    return F.ltrim(F.regexp_replace(c, f"[^{KEPT_CHARACTERS}]+", ""))
 
 
 def capitalize_name(c: Column) -> Column:
