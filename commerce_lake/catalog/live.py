@@ -74,8 +74,8 @@ def _top_selling_product(fx):
 
 @query(
     "live_payment_failure_rate",
-    f"""SELECT count_if(status = 'failed')::BIGINT AS failed, count(*) AS total,
-               round_even(100.0::DOUBLE * count_if(status = 'failed') / count(*), 2) AS failed_rate
+    f"""SELECT count(*) FILTER (status = 'failed') AS failed, count(*) AS total,
+               round_even(100.0::DOUBLE * count(*) FILTER (status = 'failed') / nullif(count(*), 0), 2) AS failed_rate
         FROM {latest('t_payment', 'order_id')} WHERE CAST(payment_date AS DATE) = {_TODAY}""",
 )
 def _payment_failure_rate(fx):
