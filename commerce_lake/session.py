@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,16 +40,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session without that setting may use the machine's own
-    temporary folder; on a cluster other executors could not read it.
+    Where that is unset, below the session's warehouse folder, which executors share as well.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        base = os.path.join(tempfile.gettempdir(), "commerce_lake")
+    base = spark.conf.get(CHECKPOINT_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

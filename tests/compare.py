@@ -39,7 +39,7 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-_KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp"}
+_KINDS = {"BOOLEAN": "boolean", "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp"}
 
 
 def kind(duck_type: str) -> str:
