@@ -15,16 +15,23 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 SLICE_ROWS = 512
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written as Parquet to the cluster's shared folder and read again.
 
-    Cuts the lineage: what is read back does not depend on any executor.
+    Cuts the lineage: what is read back does not depend on any executor. Shuffle files of the
+    write are given up at its end, as the table replaces them.
     """
     spark: SparkSession = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

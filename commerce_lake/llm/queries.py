@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import bpe, exact_dedup, packing, pii, quality, simhash
+from commerce_lake.llm import bpe, exact_dedup, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc
 from commerce_lake.llm.common import documents
 
 
@@ -27,10 +27,19 @@ def op1_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op4_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(documents(spark, folder))
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(documents(spark, folder))
 
@@ -39,6 +48,11 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), bpe.public_vocabulary())
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
@@ -47,6 +61,14 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(documents(spark, folder))
 
 
+def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, folder))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(named.items(), key=lambda x: int(x[0][2:].split("_")[0])))
