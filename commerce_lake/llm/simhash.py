@@ -26,6 +26,7 @@ SEED = 42
 SHINGLE = 3
 MAX_DIFFERENT = 2
 NODE_SIZE = 16_384
+LEAST_DEPTH = 5
 MAX_NODES = 4096
 CUT_STEP = 12
 FRONTIER = 1 << 18
@@ -64,7 +65,8 @@ def _prefix(depth: int) -> Column:
 def cut_nodes(prints: DataFrame, size: int) -> list[tuple[int, int]]:
     """(first fingerprint, depth) of the trie nodes that share out the distinct fingerprints.
 
-    Nodes hold `size` fingerprints at most. Only counts of prefixes reach the driver, CUT_STEP
+    Nodes hold `size` fingerprints at most, and share their first LEAST_DEPTH bits, so that there
+    are tasks enough for small inputs too. Only counts of prefixes reach the driver, CUT_STEP
     bits deeper each time and there only below nodes that are still too large.
     """
     nodes: list[tuple[int, int]] = []
@@ -83,7 +85,7 @@ def cut_nodes(prints: DataFrame, size: int) -> list[tuple[int, int]]:
             lo = np.searchsorted(starts, np.uint64(start))
             hi = np.searchsorted(starts, np.uint64(start + (1 << (BITS - d)) - 1), side="right")
             held = totals[hi] - totals[lo]
-            if held <= size or d == BITS:
+            if held <= size and d >= LEAST_DEPTH or d == BITS:
                 nodes.append((start, d))
             elif d < deeper:
                 stack += [(start, d + 1), (start + (1 << (BITS - d - 1)), d + 1)]
