@@ -12,7 +12,6 @@ from commerce_lake.catalog.views import with_views
 
 # Days and instants that the sample data covers well.
 DAY = "2000-08-03"
-DAYS = ("2000-08-02", "2000-08-03", "2000-08-04")
 AS_OF = "2000-08-03 15:00:00"
 LATE_AS_OF = "2000-08-03 18:00:00"
 INITIAL_DAY = "1995-01-01"

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commerce_lake.catalog import DAY, DAYS, INITIAL_DAY, query
-from commerce_lake.catalog.views import VIEWS, capitalized, clean, key_of, latest
+from commerce_lake.catalog import DAY, INITIAL_DAY, query
+from commerce_lake.catalog.views import VIEWS, capitalized, clean, key_of
 from commerce_lake.functions.keys import surrogate_key
 from commerce_lake.functions.time import calendar_columns
 from commerce_lake.operators import scd2
@@ -66,58 +66,61 @@ _ATTRIBUTES = {
 }
 
 
-def initial(fx, dim):
-    """First load; some ids are left out so that lookups can miss."""
-    rows = silver(fx, dim.source).where(F.col(dim.natural) % 97 != 0)
-    return scd2.open_versions(dim, rows, INITIAL_DAY)
-
-
 def changes(fx, dim):
     return silver(fx, f"{dim.source}_change")
 
 
-def after_days(fx, dim, days=DAYS):
-    """Initial load plus the changes of some days."""
-    if not days:
-        return initial(fx, dim)
-    *before, day = days
+def history(fx, dim, before=None):
+    """Initial load plus the changes of all days, or of those before one."""
     return fx.once(
-        (dim.name, days),
-        lambda: scd2.apply_day(dim, after_days(fx, dim, tuple(before)), changes(fx, dim), day),
+        (dim.name, before), lambda: scd2.history(dim, silver(fx, dim.source), changes(fx, dim), INITIAL_DAY, before)
+    )
+
+
+def _versions(dim: scd2.Dimension, where: str = "") -> str:
+    attributes = ", ".join(a for a, _ in dim.attributes)
+    n = dim.natural
+    return (
+        f"SELECT md5({n} || '|' || start_date) AS {dim.key}, {n}, {attributes}, start_date, end_date, "
+        f"CASE WHEN end_date IS NULL THEN 1 ELSE 0 END AS is_current FROM (SELECT *, "
+        f"lead(start_date) OVER (PARTITION BY {n} ORDER BY start_date) AS end_date FROM {dim.name}_starts {where})"
     )
 
 
 def _add_dimension_views(dim: scd2.Dimension) -> None:
     attributes = _ATTRIBUTES[dim.name]
-    plain = ", ".join(n for n, _ in dim.attributes)
+    plain = ", ".join(a for a, _ in dim.attributes)
     n = dim.natural
-    VIEWS[f"{dim.name}_0"] = (
-        f"SELECT {key_of(n, INITIAL_DAY)} AS {dim.key}, {n}, {attributes}, DATE '{INITIAL_DAY}' AS start_date, "
-        f"CAST(NULL AS DATE) AS end_date, 1 AS is_current FROM s_{dim.source} WHERE {n} % 97 <> 0"
+    day = "CAST(updated_time AS DATE)"
+    VIEWS[f"{dim.name}_chg"] = (
+        f"SELECT {n}, {attributes}, start_date FROM (SELECT *, {day} AS start_date, row_number() OVER "
+        f"(PARTITION BY {n}, {day} ORDER BY updated_time DESC, _seq DESC) AS rn FROM s_{dim.source}_change) WHERE rn = 1"
+    )
+    VIEWS[f"{dim.name}_starts"] = (
+        f"SELECT * FROM {dim.name}_chg UNION ALL SELECT {n}, {attributes}, DATE '{INITIAL_DAY}' FROM s_{dim.source} "
+        f"WHERE {n} NOT IN (SELECT {n} FROM {dim.name}_chg WHERE start_date = DATE '{INITIAL_DAY}')"
+    )
+    VIEWS[f"{dim.name}_h"] = _versions(dim)
+    VIEWS[f"{dim.name}_before"] = _versions(dim, f"WHERE start_date < DATE '{DAY}'")
+    VIEWS[f"{dim.name}_new"] = (
+        f"SELECT {key_of(n, DAY)} AS {dim.key}, {n}, {plain}, start_date, CAST(NULL AS DATE) AS end_date, 1 AS is_current "
+        f"FROM {dim.name}_chg WHERE start_date = DATE '{DAY}'"
+    )
+    VIEWS[f"{dim.name}_old"] = (
+        f"SELECT {dim.key}, {n}, {plain}, start_date, DATE '{DAY}' AS end_date, 0 AS is_current "
+        f"FROM {dim.name}_before WHERE is_current = 1 AND {n} IN (SELECT {n} FROM {dim.name}_new)"
+    )
+    VIEWS[f"{dim.name}_delta"] = f"SELECT * FROM {dim.name}_new UNION ALL SELECT * FROM {dim.name}_old"
+    VIEWS[f"{dim.name}_merged"] = (
+        f"SELECT * FROM {dim.name}_before WHERE is_current = 0 OR {n} NOT IN (SELECT {n} FROM {dim.name}_new) "
+        f"UNION ALL SELECT * FROM {dim.name}_delta"
     )
-    for i, day in enumerate(DAYS, 1):
-        todays = f"(SELECT * FROM s_{dim.source}_change WHERE CAST(updated_time AS DATE) = DATE '{day}')"
-        VIEWS[f"{dim.name}_new_{i}"] = (
-            f"SELECT {key_of(n, day)} AS {dim.key}, {n}, {attributes}, DATE '{day}' AS start_date, "
-            f"CAST(NULL AS DATE) AS end_date, 1 AS is_current "
-            f"FROM {latest(todays, n, 'updated_time DESC, _seq DESC')}"
-        )
-        VIEWS[f"{dim.name}_old_{i}"] = (
-            f"SELECT {dim.key}, {n}, {plain}, start_date, DATE '{day}' AS end_date, 0 AS is_current "
-            f"FROM {dim.name}_{i - 1} WHERE is_current = 1 AND {n} IN (SELECT {n} FROM {dim.name}_new_{i})"
-        )
-        VIEWS[f"{dim.name}_delta_{i}"] = f"SELECT * FROM {dim.name}_new_{i} UNION ALL SELECT * FROM {dim.name}_old_{i}"
-        VIEWS[f"{dim.name}_{i}"] = (
-            f"SELECT * EXCLUDE (b, rn) FROM (SELECT *, row_number() OVER (PARTITION BY {n}, start_date "
-            f"ORDER BY b DESC, is_current) AS rn FROM (SELECT *, 0 AS b FROM {dim.name}_{i - 1} "
-            f"UNION ALL SELECT *, 1 AS b FROM {dim.name}_delta_{i})) WHERE rn = 1"
-        )
 
 
 def _register_dimension(dim: scd2.Dimension) -> None:
-    @query(dim.name, f"SELECT * FROM {dim.name}_{len(DAYS)}")
+    @query(dim.name, f"SELECT * FROM {dim.name}_h")
     def _build(fx):
-        return after_days(fx, dim)
+        return history(fx, dim)
 
 
 for _dim in scd2.DIMENSIONS.values():
@@ -125,36 +128,39 @@ for _dim in scd2.DIMENSIONS.values():
     _register_dimension(_dim)
 
 
-@query("scd2_new", "SELECT * FROM dim_user_new_2")
+@query("scd2_new", "SELECT * FROM dim_user_new")
 def _scd2_new(fx):
     return scd2.new_versions(scd2.DIM_USER, changes(fx, scd2.DIM_USER), DAY)
 
 
-@query("scd2_expire", "SELECT * FROM dim_product_old_2")
+@query("scd2_expire", "SELECT * FROM dim_product_old")
 def _scd2_expire(fx):
     dim = scd2.DIM_PRODUCT
-    return scd2.expired_versions(dim, after_days(fx, dim, DAYS[:1]), changes(fx, dim), DAY)
+    return scd2.expired_versions(dim, history(fx, dim, DAY), changes(fx, dim), DAY)
 
 
-@query("scd2_delta", "SELECT * FROM dim_user_delta_2")
+@query("scd2_delta", "SELECT * FROM dim_user_delta")
 def _scd2_delta(fx):
     dim = scd2.DIM_USER
-    return scd2.delta(dim, after_days(fx, dim, DAYS[:1]), changes(fx, dim), DAY)
+    return scd2.delta(dim, history(fx, dim, DAY), changes(fx, dim), DAY)
 
 
-@query("scd2_merge", "SELECT * FROM dim_product_2")
+@query("scd2_merge", "SELECT * FROM dim_product_merged")
 def _scd2_merge(fx):
     dim = scd2.DIM_PRODUCT
-    log = changes(fx, dim)
-    snapshot = initial(fx, dim)
-    for day in DAYS[:2]:
-        snapshot = scd2.merge(dim, snapshot, scd2.delta(dim, snapshot, log, day))
-    return snapshot
+    snapshot = history(fx, dim, DAY)
+    return scd2.merge(dim, snapshot, scd2.delta(dim, snapshot, changes(fx, dim), DAY))
+
+
+@query("scd2_apply_day", "SELECT * FROM dim_user_merged")
+def _scd2_apply_day(fx):
+    dim = scd2.DIM_USER
+    return scd2.apply_day(dim, history(fx, dim, DAY), changes(fx, dim), DAY)
 
 
-@query("dim_high_water_mark", "SELECT max(start_date) AS last_date FROM dim_user_3")
+@query("dim_high_water_mark", "SELECT max(start_date) AS last_date FROM dim_user_h")
 def _high_water_mark(fx):
-    return scd2.high_water_mark(after_days(fx, scd2.DIM_USER))
+    return scd2.high_water_mark(history(fx, scd2.DIM_USER))
 
 
 @query("surrogate_key", f"SELECT user_id, {key_of('user_id', DAY)} AS user_key FROM t_user")

@@ -98,17 +98,17 @@ def _arith_round(fx):
 
 @query(
     "string_build",
-    """SELECT c_custkey, 'User ' || c_custkey AS name, 'user' || c_custkey || '@example.com' AS email,
-              '0812' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS phone FROM customer""",
+    """SELECT c_custkey, 'Buyer no. ' || c_custkey AS label, c_custkey || '.buyer@shop.example' AS mailbox,
+              'A' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code FROM customer""",
 )
 def _string_build(fx):
     key = F.col("c_custkey")
     text = key.cast("string")
     return fx.source("customer").select(
         key,
-        F.concat(F.lit("User "), text).alias("name"),
-        F.concat(F.lit("user"), text, F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("0812"), padded_number(key, 6)).alias("phone"),
+        F.concat(F.lit("Buyer no. "), text).alias("label"),
+        F.concat(text, F.lit(".buyer@shop.example")).alias("mailbox"),
+        F.concat(F.lit("A"), padded_number(key, 6)).alias("code"),
     )
 
 

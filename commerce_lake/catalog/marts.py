@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from commerce_lake.catalog import DAY, query
-from commerce_lake.catalog.dimensions import after_days, silver
+from commerce_lake.catalog.dimensions import history, silver
 from commerce_lake.catalog.views import VIEWS, latest
 from commerce_lake.operators import scd2
 from commerce_lake.operators.dedup import latest_by_key
 from commerce_lake.operators.joins import asof_inner, asof_left, left_join_default
 from commerce_lake.plans import facts, marts
 
-_EVE = str(dt.date.fromisoformat(DAY) - dt.timedelta(days=1))
-
 _VALID = "{d}.start_date <= {at} AND ({d}.end_date > {at} OR {d}.is_current = 1)"
 _ITEM_ORDER = "updated_time DESC, _seq DESC, order_id DESC, product_id DESC, quantity DESC, price_amount DESC"
 
@@ -31,7 +27,7 @@ def _order_branch(status: str, completed: str, date: str, where: str) -> str:
                {completed} AS order_completed_time, coalesce(p.payment_method, '') AS payment_method,
                coalesce(s.postal_code, '') AS postal_code, coalesce(s.country, '') AS country,
                coalesce(s.city, '') AS city, o.total_amount AS total_amount
-        FROM n_order o JOIN dim_user_3 u ON o.user_id = u.user_id AND {valid}
+        FROM n_order o JOIN dim_user_h u ON o.user_id = u.user_id AND {valid}
              LEFT JOIN s_shipping s ON o.order_id = s.order_id
              LEFT JOIN s_payment p ON o.order_id = p.order_id
         WHERE CAST({date} AS DATE) = DATE '{DAY}' {where}"""
@@ -46,20 +42,19 @@ VIEWS["f_order"] = " UNION ALL ".join(
 )
 
 
-def _detail(day: str) -> str:
+def _detail(at: str, where: str = "") -> str:
     return f"""
         SELECT i.order_id AS order_id, CAST(i.created_time AS DATE) AS date_key,
                coalesce(p.product_key, '') AS product_key, coalesce(c.category_key, '') AS category_key,
                i.quantity AS quantity, i.price_amount AS price_amount
         FROM n_item i
-             LEFT JOIN dim_product_3 p ON i.product_id = p.product_id AND {_VALID.format(d='p', at=f"DATE '{day}'")}
-             LEFT JOIN dim_category_3 c ON coalesce(p.category_id, 0) = c.category_id
-                  AND {_VALID.format(d='c', at=f"DATE '{day}'")}
-        WHERE CAST(i.created_time AS DATE) = DATE '{day}'"""
+             LEFT JOIN dim_product_h p ON i.product_id = p.product_id AND {_VALID.format(d='p', at=at)}
+             LEFT JOIN dim_category_h c ON coalesce(p.category_id, 0) = c.category_id AND {_VALID.format(d='c', at=at)}
+        {where}"""
 
 
-VIEWS["f_detail_day"] = _detail(DAY)
-VIEWS["f_detail"] = f"SELECT * FROM f_detail_day UNION ALL {_detail(_EVE)}"
+VIEWS["f_detail_day"] = _detail(f"DATE '{DAY}'", f"WHERE CAST(i.created_time AS DATE) = DATE '{DAY}'")
+VIEWS["f_detail"] = _detail("CAST(i.created_time AS DATE)")
 
 
 def newest(fx, name, key):
@@ -69,18 +64,18 @@ def newest(fx, name, key):
 def fact_order(fx, day=DAY):
     return facts.fact_order(
         newest(fx, "order", "order_id"),
-        after_days(fx, scd2.DIM_USER),
+        history(fx, scd2.DIM_USER),
         silver(fx, "shipping"),
         silver(fx, "payment"),
         day,
     )
 
 
-def fact_order_detail(fx, day=DAY):
+def fact_order_detail(fx, day: str | None = DAY):
     return facts.fact_order_detail(
         newest(fx, "order_item", "order_item_id"),
-        after_days(fx, scd2.DIM_PRODUCT),
-        after_days(fx, scd2.DIM_CATEGORY),
+        history(fx, scd2.DIM_PRODUCT),
+        history(fx, scd2.DIM_CATEGORY),
         day,
     )
 
@@ -103,34 +98,33 @@ def _fact_order_detail(fx):
               CAST(coalesce(sum(fd.quantity) FILTER (fo.order_status = 'completed'), 0) AS BIGINT) AS items_sold,
               CAST(coalesce(sum(fd.price_amount) FILTER (fo.order_status = 'completed'), 0) AS DECIMAL(38,2)) AS total_revenue
        FROM f_order fo LEFT JOIN f_detail fd ON fo.order_id = fd.order_id
-            LEFT JOIN dim_category_3 dc ON coalesce(fd.category_key, '') = dc.category_key
+            LEFT JOIN dim_category_h dc ON coalesce(fd.category_key, '') = dc.category_key
        GROUP BY 1, 2, 3, 4, 5, 6""",
 )
 def _daily_transaction(fx):
-    detail = fact_order_detail(fx).unionByName(fact_order_detail(fx, _EVE))
-    return marts.daily_transaction(fact_order(fx), detail, after_days(fx, scd2.DIM_CATEGORY), DAY)
+    return marts.daily_transaction(fact_order(fx), fact_order_detail(fx, None), history(fx, scd2.DIM_CATEGORY), DAY)
 
 
 @query(
     "daily_user",
     """SELECT fo.date_key AS date_key, count(DISTINCT du.user_id) AS active_user,
               count(DISTINCT CASE WHEN CAST(du.created_time AS DATE) = fo.date_key THEN du.user_id END) AS new_user
-       FROM f_order fo JOIN dim_user_3 du ON fo.user_key = du.user_key GROUP BY 1""",
+       FROM f_order fo JOIN dim_user_h du ON fo.user_key = du.user_key GROUP BY 1""",
 )
 def _daily_user(fx):
-    return marts.daily_user(fact_order(fx), after_days(fx, scd2.DIM_USER), DAY)
+    return marts.daily_user(fact_order(fx), history(fx, scd2.DIM_USER), DAY)
 
 
 @query(
     "asof_dim_inner",
     f"""SELECT o.order_id AS order_id, u.user_key AS user_key, u.phone AS phone
-        FROM n_order o JOIN dim_user_3 u ON o.user_id = u.user_id
+        FROM n_order o JOIN dim_user_h u ON o.user_id = u.user_id
              AND {_VALID.format(d='u', at='CAST(o.updated_time AS DATE)')}""",
 )
 def _asof_dim_inner(fx):
     orders = newest(fx, "order", "order_id").select("order_id", "user_id", "updated_time")
     at = F.to_date("updated_time")
-    rows = asof_inner(orders, after_days(fx, scd2.DIM_USER), "user_id", at, ["user_key", "phone"])
+    rows = asof_inner(orders, history(fx, scd2.DIM_USER), "user_id", at, ["user_key", "phone"])
     return rows.select("order_id", "user_key", "phone")
 
 
@@ -138,12 +132,12 @@ def _asof_dim_inner(fx):
     "asof_dim_left",
     f"""SELECT i.order_item_id AS order_item_id, coalesce(p.product_key, '') AS product_key,
                coalesce(p.price_amount, 0) AS list_price
-        FROM n_item i LEFT JOIN dim_product_3 p ON i.product_id = p.product_id
+        FROM n_item i LEFT JOIN dim_product_h p ON i.product_id = p.product_id
              AND {_VALID.format(d='p', at=f"DATE '{DAY}'")}""",
 )
 def _asof_dim_left(fx):
     items = newest(fx, "order_item", "order_item_id").select("order_item_id", "product_id")
-    dim = after_days(fx, scd2.DIM_PRODUCT).withColumnRenamed("price_amount", "list_price")
+    dim = history(fx, scd2.DIM_PRODUCT).withColumnRenamed("price_amount", "list_price")
     columns = ["product_key", "list_price"]
     rows = asof_left(items, dim, "product_id", DAY, columns, {"product_key": "", "list_price": 0})
     return rows.select("order_item_id", *columns)

@@ -43,9 +43,9 @@ _EPOCH = "TIMESTAMP '1995-01-01 00:00:00'"
 VIEWS: dict[str, str] = {
     "t_user": f"""
         SELECT c_custkey AS user_id, c_name AS name,
-               lower(c_mktsegment) || c_custkey || '@example.com' AS email,
+               'buyer' || c_custkey || '@' || lower(c_mktsegment) || '.example' AS email,
                'h' || c_custkey AS password_hash,
-               CASE WHEN c_custkey % 10 <> 0 THEN '0812' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') ELSE '' END AS phone,
+               CASE WHEN c_custkey % 10 <> 0 THEN 'ext ' || c_custkey ELSE '' END AS phone,
                {_EPOCH} + to_days(CAST(c_custkey % 365 AS INTEGER)) AS created_at,
                {_EPOCH} + to_days(CAST(c_custkey % 365 AS INTEGER)) AS updated_at,
                CAST(NULL AS TIMESTAMP) AS deleted_at, c_custkey AS _seq
@@ -82,30 +82,30 @@ VIEWS: dict[str, str] = {
                l_suppkey * 1000000000 + CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS _seq
         FROM lineitem JOIN t_final o ON l_orderkey = o.order_id""",
     "t_payment": """
-        SELECT order_id + shift AS payment_id, order_id, total_amount AS amount,
+        SELECT order_id * 10 + shift AS payment_id, order_id, total_amount AS amount,
                CASE order_id % 3 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'paypal' ELSE 'bank_transfer' END AS payment_method,
                updated_at + to_seconds(delay) AS payment_date,
                CASE WHEN shift > 0 OR order_status = 'completed' THEN 'completed' ELSE 'failed' END AS status,
-               created_at, updated_at + to_seconds(delay) AS updated_at, order_id + shift AS _seq
-        FROM t_final, (VALUES (0, 0), (10000000, 3600)) AS attempt(shift, delay)
+               created_at, updated_at + to_seconds(delay) AS updated_at, order_id * 10 + shift AS _seq
+        FROM t_final, (VALUES (0, 0), (1, 3600)) AS attempt(shift, delay)
         WHERE order_status IN ('completed', 'cancelled') AND (shift = 0 OR order_id % 50 = 0)""",
     "t_shipping": """
-        SELECT order_id AS shipping_id, order_id, 'Address ' || order_id AS address, n_name AS city,
+        SELECT order_id AS shipping_id, order_id, 'Dock ' || order_id AS address, n_name AS city,
                lpad(CAST(order_id % 100000 AS VARCHAR), 5, '0') AS postal_code, r_name AS country,
                updated_at AS shipping_date,
-               CASE WHEN order_id % 7 <> 0 THEN 'TRK' || order_id ELSE '' END AS tracking_number,
+               CASE WHEN order_id % 7 <> 0 THEN 'PKG' || order_id ELSE '' END AS tracking_number,
                created_at, updated_at, order_id AS _seq
         FROM t_final JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
              JOIN region ON n_regionkey = r_regionkey
-        WHERE order_id % 20 <> 0""",
-    "t_product_review": f"""
+        WHERE order_status <> 'created'""",
+    "t_product_review": """
         SELECT order_item_id AS review_id, product_id, user_id, CAST(order_item_id % 5 + 1 AS INTEGER) AS rating,
-               CASE WHEN order_item_id % 11 <> 0 THEN 'Review for product ' || product_id ELSE '' END AS comment,
+               CASE WHEN order_item_id % 11 <> 0 THEN 'Item ' || product_id || ' as described' ELSE '' END AS comment,
                i.created_at AS created_at, i.created_at AS updated_at, i._seq AS _seq
         FROM t_order_item i JOIN t_final o USING (order_id)
-        WHERE order_status = 'completed' AND {hash32('order_item_id')} < 3435973837""",
+        WHERE order_status = 'completed'""",
     "t_user_change": """
-        SELECT u.* REPLACE ('0899' || lpad(CAST(o.order_id AS VARCHAR), 9, '0') AS phone,
+        SELECT u.* REPLACE ('ext ' || o.order_id || ' new' AS phone,
                             o.updated_at AS updated_at, o.order_id AS _seq)
         FROM t_user u JOIN t_final o USING (user_id)""",
     "t_sold": """

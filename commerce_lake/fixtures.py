@@ -14,12 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.text import padded_number
-from commerce_lake.operators.sampling import bernoulli_sample
 from commerce_lake.schemas import LAKE_DECIMAL, SEQ, TABLES
 from commerce_lake.session import use_utc
 
-REVIEW_SHARE = 0.8
-
 
 def _money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(LAKE_DECIMAL)
@@ -94,9 +91,9 @@ def _user(fx: Fixtures) -> DataFrame:
     return fx.source("customer").select(
         key.alias("user_id"),
         F.col("c_name").alias("name"),
-        F.concat(F.lower("c_mktsegment"), key.cast("string"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("buyer"), key.cast("string"), F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")).alias("email"),
         F.concat(F.lit("h"), key.cast("string")).alias("password_hash"),
-        F.when(key % 10 != 0, F.concat(F.lit("0812"), padded_number(key, 6))).otherwise("").alias("phone"),
+        F.when(key % 10 != 0, F.concat(F.lit("ext "), key.cast("string"))).otherwise("").alias("phone"),
         born.alias("created_at"),
         born.alias("updated_at"),
         F.lit(None).cast("timestamp").alias("deleted_at"),
@@ -169,11 +166,11 @@ def _payment(fx: Fixtures) -> DataFrame:
     def attempt(offset: int, state: Column, delay: int) -> Column:
         paid = _plus_seconds(F.col("updated_at"), F.lit(delay).cast("bigint"))
         return F.struct(
-            (order + offset).alias("payment_id"), state.alias("status"), paid.alias("payment_date")
+            (order * 10 + offset).alias("payment_id"), state.alias("status"), paid.alias("payment_date")
         )
 
     attempts = F.array_compact(
-        F.array(attempt(0, status, 0), F.when(order % 50 == 0, attempt(10_000_000, F.lit("completed"), 3600)))
+        F.array(attempt(0, status, 0), F.when(order % 50 == 0, attempt(1, F.lit("completed"), 3600)))
     )
     return (
         final_orders(fx)
@@ -187,7 +184,7 @@ def _payment(fx: Fixtures) -> DataFrame:
 
 
 def _shipping(fx: Fixtures) -> DataFrame:
-    """One shipment per order, but none for every twentieth."""
+    """One shipment per finished order; an order still open has none."""
     order = F.col("order_id")
     place = (
         fx.source("customer")
@@ -197,17 +194,17 @@ def _shipping(fx: Fixtures) -> DataFrame:
     )
     return (
         final_orders(fx)
-        .where(order % 20 != 0)
+        .where(F.col("order_status") != "created")
         .join(place, "user_id")
         .select(
             order.alias("shipping_id"),
             "order_id",
-            F.concat(F.lit("Address "), order.cast("string")).alias("address"),
+            F.concat(F.lit("Dock "), order.cast("string")).alias("address"),
             F.col("n_name").alias("city"),
             padded_number(order % 100000, 5).alias("postal_code"),
             F.col("r_name").alias("country"),
             F.col("updated_at").alias("shipping_date"),
-            F.when(order % 7 != 0, F.concat(F.lit("TRK"), order.cast("string"))).otherwise("").alias("tracking_number"),
+            F.when(order % 7 != 0, F.concat(F.lit("PKG"), order.cast("string"))).otherwise("").alias("tracking_number"),
             "created_at",
             "updated_at",
             order.alias(SEQ),
@@ -220,12 +217,12 @@ def _product_review(fx: Fixtures) -> DataFrame:
     sold = fx["order_item"].join(
         final_orders(fx).where(F.col("order_status") == "completed").select("order_id", "user_id"), "order_id"
     )
-    return bernoulli_sample(sold, "order_item_id", REVIEW_SHARE).select(
+    return sold.select(
         item.alias("review_id"),
         "product_id",
         "user_id",
         (item % 5 + 1).cast("int").alias("rating"),
-        F.when(item % 11 != 0, F.concat(F.lit("Review for product "), F.col("product_id").cast("string")))
+        F.when(item % 11 != 0, F.concat(F.lit("Item "), F.col("product_id").cast("string"), F.lit(" as described")))
         .otherwise("")
         .alias("comment"),
         "created_at",
@@ -242,7 +239,7 @@ def _user_change(fx: Fixtures) -> DataFrame:
         .join(touch, "user_id")
         .withColumns(
             {
-                "phone": F.concat(F.lit("0899"), padded_number(F.col("_o"), 9)),
+                "phone": F.concat(F.lit("ext "), F.col("_o").cast("string"), F.lit(" new")),
                 "updated_at": F.col("_u"),
                 SEQ: F.col("_o"),
             }

@@ -53,15 +53,23 @@ def asof_left(
     facts: DataFrame,
     dimension: DataFrame,
     key: str,
-    at: dt.date | str,
+    at: Column | dt.date | str,
     columns: list[str],
     defaults: Mapping[str, object],
 ) -> DataFrame:
-    """All facts, with the dimension version valid on one given date where there is one.
+    """All facts, with the dimension version valid on a date where there is one.
 
-    The date is the same for all rows, so the dimension is cut to it first and
-    its build side holds one version per key.
+    A date that is the same for all rows cuts the dimension first, and its build
+    side holds one version per key. A column gives each row its own date.
     """
+    if isinstance(at, Column):
+        marked = dimension.select(
+            F.col(key).alias("_dim_key"), "start_date", "end_date", "is_current", F.lit(True).alias(_MATCHED), *columns
+        )
+        types = {f.name: f.dataType for f in dimension.schema.fields}
+        filled = {n: F.when(F.col(_MATCHED).isNull(), F.lit(v).cast(types[n])).otherwise(F.col(n)) for n, v in defaults.items()}
+        joined = facts.join(marked, (facts[key] == F.col("_dim_key")) & valid_at(at), "left")
+        return joined.withColumns(filled).drop("_dim_key", "start_date", "end_date", "is_current", _MATCHED)
     dim = dimension.where(valid_at(at)).select(key, *columns)
     return left_join_default(facts, dim, key, defaults)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,5 +154,31 @@ def apply_day(dim: Dimension, versions: DataFrame, changes: DataFrame, day: Day)
     return seen.unionByName(open_versions(dim, touched, day))
 
 
+def history(dim: Dimension, initial: DataFrame, changes: DataFrame, day: Day, before: Day | None = None) -> DataFrame:
+    """All versions that an initial load on `day` and the changes of every day give, in one go.
+
+    The same rows as applying the days one after the other: the last change of an id on a day
+    starts a version, and the next start of the id ends it. With `before`, only earlier changes
+    count.
+    """
+    start = F.to_date("updated_time")
+    if before is not None:
+        changes = changes.where(start < as_date(before))
+    names = [dim.natural, *[n for n, _ in dim.attributes], "updated_time", *([SEQ] if SEQ in changes.columns else [])]
+    # a change on the day of the initial load replaces what was loaded
+    starts = changes.select(*names, start.alias("start_date"), F.lit(1).alias("_change")).unionByName(
+        initial.select(*names, as_date(day).alias("start_date"), F.lit(0).alias("_change"))
+    )
+    newest = latest_by_key(starts, [dim.natural, "start_date"], ["_change", "updated_time"])
+    end = F.lead("start_date").over(Window.partitionBy(dim.natural).orderBy("start_date"))
+    return newest.select(
+        surrogate_key(F.col(dim.natural), F.col("start_date")).alias(dim.key),
+        F.col(dim.natural),
+        *dim.attribute_columns(),
+        "start_date",
+        end.alias("end_date"),
+    ).withColumn("is_current", F.col("end_date").isNull().cast("int"))
+
+
 def high_water_mark(snapshot: DataFrame) -> DataFrame:
     return snapshot.agg(F.max("start_date").alias("last_date"))

@@ -51,17 +51,15 @@ def fact_order(
     rows = asof_inner(todays, dim_user, "user_id", F.to_date(created), ["user_key"]).drop("user_id")
     rows = left_join_default(
         rows,
-        shipping.select("order_id", "shipping_id", "postal_code", "country", "city"),
+        shipping.select("order_id", "postal_code", "country", "city"),
         "order_id",
         {"postal_code": "", "country": "", "city": ""},
-        spread_by="shipping_id",
     )
     rows = left_join_default(
         rows,
-        payment.select("order_id", "payment_id", "payment_method"),
+        payment.select("order_id", "payment_method"),
         "order_id",
         {"payment_method": ""},
-        spread_by="payment_id",
     )
 
     def event(condition, label, completed_time):
@@ -97,20 +95,21 @@ def fact_order(
 
 
 def fact_order_detail(
-    items: DataFrame, dim_product: DataFrame, dim_category: DataFrame, day: Day
+    items: DataFrame, dim_product: DataFrame, dim_category: DataFrame, day: Day | None
 ) -> DataFrame:
     """One row per order item created on `day`, with the keys valid on that day.
 
+    Without a day, one row per item of any day, with the keys valid when it was created.
+
     The category is looked up through the product version; an unknown product
     has category 0, which no dimension row carries unless it was loaded as such.
     """
-    todays = items.select("order_id", "product_id", "quantity", "price_amount", "created_time").where(
-        on_day(F.col("created_time"), day)
-    )
-    rows = asof_left(
-        todays, dim_product, "product_id", day, ["product_key", "category_id"], {"product_key": "", "category_id": 0}
-    )
-    rows = asof_left(rows, dim_category, "category_id", day, ["category_key"], {"category_key": ""})
-    return rows.select(
-        "order_id", as_date(day).alias("date_key"), "product_key", "category_key", "quantity", "price_amount"
-    )
+    rows = items.select("order_id", "product_id", "quantity", "price_amount", "created_time")
+    created = F.to_date("created_time")
+    if day is not None:
+        rows = rows.where(on_day(F.col("created_time"), day))
+    at = created if day is None else day
+    rows = asof_left(rows, dim_product, "product_id", at, ["product_key", "category_id"], {"product_key": "", "category_id": 0})
+    rows = asof_left(rows, dim_category, "category_id", at, ["category_key"], {"category_key": ""})
+    date = created if day is None else as_date(day)
+    return rows.select("order_id", date.alias("date_key"), "product_key", "category_key", "quantity", "price_amount")

@@ -35,14 +35,16 @@ def daily_transaction(
     one day counts its details in both groups, and revenue adds unit prices
     without quantity. Only completed rows add items and revenue.
 
-    Details are summed per order and category first, so that an order with very
-    many items joins as few rows. `detail_since` bounds the detail partitions
-    read, for callers who know the oldest order that can still be in the day.
+    Only details of the day's orders are summed, per order and category, before they
+    are joined, so that an order with very many items joins as few rows.
+    `detail_since` bounds the detail partitions read, for callers who know the oldest
+    order that can still be in the day.
     """
     orders = fact_order.where(F.col("date_key") == as_date(day))
     detail = fact_order_detail
     if detail_since is not None:
         detail = detail.where(F.col("date_key") >= as_date(detail_since))
+    detail = detail.join(orders.select("order_id").distinct(), "order_id", "left_semi")
     per_order = detail.groupBy("order_id", "category_key").agg(
         F.sum("quantity").alias("quantity"), F.sum("price_amount").alias("price_amount")
     )

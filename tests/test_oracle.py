@@ -6,7 +6,7 @@ from conftest import DATA
 
 import __spark_entry__ as contract
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(contract.oracle_sql())
 
 
 @pytest.fixture(scope="module")
