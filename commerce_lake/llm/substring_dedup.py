@@ -103,7 +103,7 @@ def _segments_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         upto = np.concatenate([[_U(0)], np.cumsum(_TABLE[data] * _powers(_BASE, len(data)), dtype=np.uint64)])
         content = (upto[end] - upto[start]) * _powers(pow(_BASE, -1, 1 << 64), len(data))[start]
         content = _mix(content + count.astype(np.uint64) * _U(_BASE))
-        periodic = np.logical_or.reduceat(twice, first) | (count > LENGTH - GRAM)
+        periodic = np.logical_or.reduceat(twice, first) | (count > LENGTH - GRAM + 1)
         owner = np.array([k for k, _, _ in chunk])[piece[first]]
         base = np.array([a for _, a, _ in chunk])[piece[first]]
         return owner, base + nth[first], count + _PERIODIC * periodic, anchor[first], content
