@@ -40,6 +40,27 @@ def _cdc_flatten(fx):
     return cdc.flatten(cdc.parse_json_events(events, spec), spec)
 
 
+def _with_cut_events(fx):
+    """Order events; those of cancelled orders were cut off on their way."""
+    spec = TABLES["order"]
+    events = cdc.to_json_events(fx["order"], spec)
+    cancelled = F.get_json_object("value", "$.after.order_status") == "cancelled"
+    return events.withColumn("value", F.when(cancelled, F.expr("left(value, length(value) - 20)")).otherwise(F.col("value"))), spec
+
+
+@query("cdc_rejected", "SELECT order_id, _seq FROM t_order WHERE order_status = 'cancelled'")
+def _cdc_rejected(fx):
+    events, spec = _with_cut_events(fx)
+    number = F.regexp_extract("value", r'"order_id":(\d+)', 1).cast("bigint")
+    return cdc.rejected_events(events, spec).select(number.alias("order_id"), SEQ)
+
+
+@query("cdc_accepted", "SELECT * FROM t_order WHERE order_status <> 'cancelled'")
+def _cdc_accepted(fx):
+    events, spec = _with_cut_events(fx)
+    return cdc.json_to_bronze(events, spec, bad="skip")
+
+
 @query("cdc_drop_deletes", "SELECT * FROM t_order WHERE order_status <> 'cancelled' AND total_amount >= 10000")
 def _cdc_drop_deletes(fx):
     """Cancelled orders arrive as deletes, cheap ones as tombstones without any value."""

@@ -24,6 +24,9 @@ _WIRE = {
 }
 
 
+_BAD = "_malformed"
+
+
 def envelope_schema(spec: TableSpec) -> T.StructType:
     """The part of an event that is read; the parser skips the rest."""
     record = T.StructType([T.StructField(f.name, _WIRE[f.base]) for f in spec.fields])
@@ -50,18 +53,45 @@ def to_json_events(rows: DataFrame, spec: TableSpec, deleted: Column | None = No
     return rows.select(*_seq(rows), F.to_json(event).alias("value"))
 
 
-def parse_json_events(events: DataFrame, spec: TableSpec) -> DataFrame:
-    """`value` text to an `after` struct; other columns pass through.
+def _parsed(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """Events with their parsed form as `_event`; its `_bad` holds a text that is no such event.
 
     The struct leaves through a one-element explode. A filter on it cannot move
     below that, where it would parse every event a second time.
     """
-    parsed = F.from_json(F.col("value").cast("string"), envelope_schema(spec))
-    return events.withColumn("after", F.explode(F.array(parsed["after"]))).drop("value")
+    schema = envelope_schema(spec).add(_BAD, T.StringType())
+    event = F.from_json(F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": _BAD})
+    return events.withColumn("_event", F.explode(F.array(event)))
+
+
+def _is_bad() -> Column:
+    """A value that is there and cannot be parsed; an empty one is a tombstone."""
+    return F.col("_event")[_BAD].isNotNull() & (F.trim(F.col("value").cast("string")) != "")
+
+
+def parse_json_events(events: DataFrame, spec: TableSpec, bad: str = "raise") -> DataFrame:
+    """`value` text to an `after` struct; other columns pass through.
+
+    A value that cannot be parsed raises. With `bad="skip"` it is left out here, for callers that
+    keep such events by `rejected_events`.
+    """
+    parsed = _parsed(events, spec)
+    after = F.col("_event.after")
+    if bad == "skip":
+        parsed = parsed.where(~F.coalesce(_is_bad(), F.lit(False)))
+    else:
+        message = F.concat(F.lit(f"malformed {spec.name} event: "), F.substring(F.col("value").cast("string"), 1, 200))
+        after = F.when(_is_bad(), F.raise_error(message).cast(envelope_schema(spec)["after"].dataType)).otherwise(after)
+    return parsed.withColumn("after", after).drop("value", "_event")
+
+
+def rejected_events(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """The events whose value cannot be parsed, as they came."""
+    return _parsed(events, spec).where(_is_bad()).drop("_event")
 
 
 def drop_deletes(events: DataFrame) -> DataFrame:
-    """Remove deletes and tombstones: both parse to an empty `after`."""
+    """Remove deletes and tombstones: both have an empty `after` once malformed events are out."""
     return events.where(F.col("after").isNotNull())
 
 
@@ -81,9 +111,9 @@ def to_bronze(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.select(*columns, *_seq(rows))
 
 
-def json_to_bronze(events: DataFrame, spec: TableSpec) -> DataFrame:
+def json_to_bronze(events: DataFrame, spec: TableSpec, bad: str = "raise") -> DataFrame:
     """JSON `value` column to bronze rows. No shuffle: one map stage."""
-    return to_bronze(flatten(parse_json_events(events, spec), spec), spec)
+    return to_bronze(flatten(parse_json_events(events, spec, bad), spec), spec)
 
 
 def with_day(bronze: DataFrame) -> DataFrame:

@@ -21,20 +21,29 @@ def replay_events(spark: SparkSession, folder: str, files_per_batch: int | None
 
 
 def append_bronze(
-    events: DataFrame, spec: TableSpec, lake: Lake, checkpoint: str, once: bool = False
+    events: DataFrame, spec: TableSpec, lake: Lake, checkpoint: str, once: bool = False, bad: str = "raise"
 ) -> StreamingQuery:
     """Decode events and append every row version; there is no watermark and no shuffle.
 
+    A malformed JSON event stops the query, unless `bad="skip"`: run `append_rejects` beside it then.
+
     Stopping the query and starting it again on the same checkpoint continues
     after the last finished batch.
     """
     rows = cdc.flatten(events, spec) if "after" in events.columns else cdc.flatten(
-        cdc.parse_json_events(events, spec), spec
+        cdc.parse_json_events(events, spec, bad), spec
     )
     bronze = cdc.with_day(cdc.to_bronze(rows, spec))
     return write_batches(bronze, lake.path(spec.bronze_hot), checkpoint, partition=[DAY], once=once)
 
 
+def append_rejects(
+    events: DataFrame, spec: TableSpec, lake: Lake, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Append the JSON events that cannot be parsed, as they came, to a table of their own."""
+    return write_batches(cdc.rejected_events(events, spec), lake.path(f"rejects_{spec.name}"), checkpoint, once=once)
+
+
 def run_ingest(spark: SparkSession, lake: Lake, settings: Settings, checkpoint_root: str) -> list[StreamingQuery]:
     """One query per shop table on its topic, all in one session."""
     return [
