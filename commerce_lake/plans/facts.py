@@ -29,9 +29,9 @@ SCHEMAS = {
 
 
 def fact_order(
-    orders: DataFrame, dim_user: DataFrame, shipping: DataFrame, payment: DataFrame, day: Day
+    orders: DataFrame, dim_user: DataFrame, shipping: DataFrame, payment: DataFrame, day: Day | None
 ) -> DataFrame:
-    """One row per order and lifecycle event of `day`.
+    """One row per order and lifecycle event of `day`, or of every day without one.
 
     Every order created on the day gives a 'created' row whatever its status;
     a completed or cancelled order updated on the day gives a second one. The
@@ -43,10 +43,11 @@ def fact_order(
     afterwards.
     """
     created, updated, status = F.col("created_time"), F.col("updated_time"), F.col("order_status")
-    ended = on_day(updated, day) & status.isin(*FINAL_STATES)
+    on = (lambda at: F.lit(True)) if day is None else (lambda at: on_day(at, day))
+    ended = on(updated) & status.isin(*FINAL_STATES)
     todays = orders.select(
         "order_id", "user_id", "order_status", "total_amount", "created_time", "updated_time"
-    ).where(on_day(created, day) | ended)
+    ).where(on(created) | ended)
 
     rows = asof_inner(todays, dim_user, "user_id", F.to_date(created), ["user_key"]).drop("user_id")
     rows = left_join_default(
@@ -62,11 +63,11 @@ def fact_order(
         {"payment_method": ""},
     )
 
-    def event(condition, label, completed_time):
+    def event(condition, at, label, completed_time):
         return F.when(
             condition,
             F.struct(
-                as_date(day).alias("date_key"),
+                F.to_date(at).alias("date_key"),
                 label.alias("order_status"),
                 completed_time.alias("order_completed_time"),
             ),
@@ -75,8 +76,8 @@ def fact_order(
     completed_time = F.when(status == "completed", updated)
     events = F.array_compact(
         F.array(
-            event(on_day(created, day), F.lit("created"), F.lit(None).cast("timestamp")),
-            event(ended, status, completed_time),
+            event(on(created), created, F.lit("created"), F.lit(None).cast("timestamp")),
+            event(ended, updated, status, completed_time),
         )
     )
     return rows.withColumn("event", F.explode(events)).select(

@@ -35,6 +35,7 @@ SEQ = "_seq"
 
 # Partition column of bronze and silver tables.
 DAY = "updated_date"
+BATCH = "batch_id"
 
 _STORED = {
     "long": T.LongType(),

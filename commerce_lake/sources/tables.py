@@ -27,19 +27,20 @@ def run_script(spark: SparkSession, sql: str, day: dt.date | str) -> DataFrame:
     return spark.sql(sql, args={"execution_date": str(day)})
 
 
-def overwrite_partitions(df: DataFrame, path: str, column: str, sort: list[str] | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, column: str | list[str], sort: list[str] | None = None) -> None:
     """Replace exactly the partitions that occur in `df`.
 
     Rerunning after a failure is safe, and an empty `df` changes nothing. Rows
     are sorted inside each file so that min/max statistics can skip row groups.
     """
+    columns = [column] if isinstance(column, str) else column
     if sort:
-        df = df.sortWithinPartitions(column, *sort)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+        df = df.sortWithinPartitions(*columns, *sort)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
-def append(df: DataFrame, path: str, column: str) -> None:
-    df.write.mode("append").partitionBy(column).parquet(path)
+def append(df: DataFrame, path: str, *columns: str) -> None:
+    df.write.mode("append").partitionBy(*columns).parquet(path)
 
 
 def write_jdbc(df: DataFrame, table: str, settings: Settings, batch_size: int = 1000) -> None:

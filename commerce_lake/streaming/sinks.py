@@ -15,10 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from commerce_lake.operators.dedup import latest_by_key
+from commerce_lake.schemas import BATCH
 from commerce_lake.settings import Settings
 from commerce_lake.sources.tables import exists, write_jdbc
 
-BATCH = "batch_id"
 # Fixed value: seconds between micro-batches of a continuous run.
 TRIGGER_SECONDS = 10
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from commerce_lake.operators import scd2
-from commerce_lake.plans import daily
-from commerce_lake.schemas import DAY, TABLES
+from commerce_lake.plans import daily, live
+from commerce_lake.schemas import BATCH, DAY, TABLES
 from commerce_lake.sources import tables
 
 D1, D2, D3 = "2024-03-01", "2024-03-02", "2024-03-03"
@@ -63,10 +63,20 @@ def lake(spark, tmp_path):
     for name, rows in ROWS.items():
         spec = TABLES[name]
         df = spark.createDataFrame(rows, spec.bronze_schema().add("_seq", LongType()))
-        tables.append(df.withColumn(DAY, F.to_date("updated_at")), lake.path(spec.bronze_hot), DAY)
+        ingest(lake, spec, df, 0)
     return lake
 
 
+def ingest(lake, spec, rows, batch):
+    """As the stream does it: one micro-batch, by day and batch."""
+    rows = rows.withColumns({DAY: F.to_date("updated_at"), BATCH: F.lit(batch).cast("long")})
+    tables.append(rows, lake.path(spec.bronze_hot), DAY, BATCH)
+
+
+def rows_of(spark, spec, rows):
+    return spark.createDataFrame(rows, spec.bronze_schema().add("_seq", LongType()))
+
+
 def snapshot(lake):
     out = {}
     for table in ("fact_order", "fact_order_detail", "daily_transaction", "daily_user"):
@@ -102,7 +112,7 @@ def test_three_days(lake):
     ]
     # user 77 has no dimension row, so order 102 gives no fact
     assert got == [
-        (100, D2, "created", key[1, D2], "", "Oslo".lower(), None),
+        (100, D2, "created", key[1, D2], "credit_card", "oslo", None),
         (101, D2, "cancelled", key[2, D1], "paypal", "", None),
         (101, D2, "created", key[2, D1], "paypal", "", None),
         (100, D3, "completed", key[1, D2], "credit_card", "oslo", at(f"{D3} 09:00:00")),
@@ -140,16 +150,73 @@ def test_rerun_changes_nothing_and_replay_is_refused(lake):
     assert snapshot(lake) == before
 
 
+def test_late_rows_add_to_cold_and_reach_everything(lake, spark):
+    for day in (D1, D2):
+        daily.run_day(lake, day)
+    order, user, item = TABLES["order"], TABLES["user"], TABLES["order_item"]
+    # a day that is already cold gets more rows, in a later batch
+    ingest(lake, order, rows_of(spark, order, [(103, 2, "created", Decimal("3.00"), at(f"{D2} 20:00:00"), at(f"{D2} 20:00:00"), 9)]), 7)
+    ingest(lake, user, rows_of(spark, user, [(2, "bob roy", "b@x.org", "h", "", at(f"{D1} 09:00:00"), at(f"{D2} 21:00:00"), None, 9)]), 7)
+    ingest(lake, item, rows_of(spark, item, [(1003, 103, 10, 1, Decimal("3.00"), at(f"{D2} 23:50:00"), at(f"{D3} 00:20:00"), 9)]), 7)
+    daily.run_day(lake, D3)
+    assert tables.scan_day(lake.read_bronze(order, "cold"), D2).count() == 5
+    users = [(r.user_id, r.name, str(r.start_date)) for r in daily.read_dimension(lake, scd2.DIM_USER).collect()]
+    assert (2, "Bob Roy", D2) in users and len(users) == 4
+    assert lake.read("fact_order").where("order_id = 103").select("order_status", F.col("date_key").cast("string")).collect() == [("created", D2)]
+    # stamped on the third, created on the second
+    assert lake.read("fact_order_detail").where("order_id = 103").select(F.col("date_key").cast("string")).collect() == [(D2,)]
+    created = lake.read("daily_user").where(F.col("date_key") == D2).first()
+    assert created.active_user == 2
+
+
+def test_repeated_move_keeps_late_and_half_deleted_batches(lake, spark):
+    spec = TABLES["order"]
+    assert daily.move_to_cold(lake, spec, D2) == [dt.date.fromisoformat(D2)]
+    late = [(104, 1, "created", Decimal("1.00"), at(f"{D2} 22:00:00"), at(f"{D2} 22:00:00"), 8)]
+    ingest(lake, spec, rows_of(spark, spec, late), 3)
+    daily.move_to_cold(lake, spec, D2)
+    cold = tables.scan_day(lake.read_bronze(spec, "cold"), D2)
+    assert cold.count() == 5
+    # as if the deletion of batch 0 had died half-way: some of its rows are back in hot
+    rest = rows_of(spark, spec, [r for r in ORDERS if r[0] == 102])
+    ingest(lake, spec, rest, 0)
+    daily.move_to_cold(lake, spec, D2)
+    assert tables.scan_day(lake.read_bronze(spec, "cold"), D2).count() == 5
+    assert tables.scan_day(lake.read_bronze(spec, "hot"), D2).isEmpty()
+
+
+def test_live_marts_see_both_tiers(lake):
+    def stuck():
+        return sorted(map(str, live.stuck_order(daily.read_log(lake, TABLES["order"]), f"{D3} 12:00:00").collect()))
+
+    before = stuck()
+    assert before
+    daily.run_day(lake, D1)
+    daily.run_day(lake, D2)
+    assert stuck() == before
+    # a batch that was copied and not yet dropped counts once
+    daily.copy_to_cold(lake, TABLES["order"], D3)
+    assert stuck() == before
+
+
+def test_rerun_clears_a_day_that_has_no_rows_any_more(lake, spark):
+    for day in (D1, D2, D3):
+        daily.run_day(lake, day)
+    tables.drop_partition(spark, lake.path(TABLES["order"].silver), DAY, D3)
+    daily.load_facts(lake, D3, rerun=True)
+    assert lake.read("fact_order").where(F.col("date_key") == D3).isEmpty()
+
+
 def test_interrupted_dimension_load_is_invisible_and_repeatable(lake, spark):
     daily.run_day(lake, D1)
     for spec in TABLES.values():
-        daily.move_day_to_cold(lake, spec, D2)
+        daily.move_to_cold(lake, spec, D2)
         daily.build_silver(lake, spec, D2)
     before = snapshot_dim(lake)
     daily.load_dimension(lake, scd2.DIM_USER, D2)
     loaded = snapshot_dim(lake)
     # as if the job had died between writing the versions and logging the load
-    tables.drop_partition(spark, lake.path("dim_user_loads"), "load_date", D2)
+    tables.drop_partition(spark, lake.path("dim_user_loads") + "/generation=0", "load_date", D2)
     assert snapshot_dim(lake) == before != loaded
     daily.load_dimension(lake, scd2.DIM_USER, D2)
     assert snapshot_dim(lake) == loaded
@@ -161,8 +228,8 @@ def snapshot_dim(lake):
 
 def test_moving_a_day_twice_keeps_cold(lake):
     spec = TABLES["order"]
-    daily.move_day_to_cold(lake, spec, D2)
-    daily.move_day_to_cold(lake, spec, D2)
+    daily.move_to_cold(lake, spec, D2)
+    daily.move_to_cold(lake, spec, D2)
     assert tables.scan_day(lake.read_bronze(spec, "cold"), D2).count() == 4
     assert tables.scan_day(lake.read_bronze(spec, "hot"), D2).isEmpty()
     assert tables.scan_day(lake.read_bronze(spec, "hot"), D3).count() == 1
@@ -178,7 +245,7 @@ def test_day_scan_reads_one_partition(lake):
 
 def test_silver_without_dedup_keeps_all_versions(lake):
     spec = TABLES["user"]
-    daily.move_day_to_cold(lake, spec, D2)
+    daily.move_to_cold(lake, spec, D2)
     daily.build_silver(lake, spec, D2, dedup=False)
     assert daily.read_silver(lake, "user", D2).count() == 2
     daily.build_silver(lake, spec, D2)
