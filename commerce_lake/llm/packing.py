@@ -23,9 +23,10 @@ from commerce_lake.llm.common import slices, stored, text_or_empty
 
 CAPACITY = 2048
 END_OF_TEXT = b"\0\0\0\0"
-ROUNDS = 60
-RATE = 6.0
+ROUNDS = 100
+RATE = 8.0
 STEP = 0.04
+NEAR_BEST = 0.9
 
 Pattern = tuple[int, ...]
 
@@ -66,11 +67,12 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
         if not len(lengths) or cover.min() >= 1:
             break
         # a length's weight is its share of the tokens, times exp(-rate x coverage)
-        prices = lengths / capacity * np.exp(-RATE * (np.minimum(cover, 1.5) - cover.min()) / 10)
-        prices[cover >= 1] *= 0.5
+        prices = lengths / capacity * np.exp(-RATE * (np.minimum(cover, 2) - cover.min()))
         best, choice = _knapsack(lengths, prices, capacity)
+        # the dearest filling with each length in it, where that is near the dearest of all
+        value = prices + best[capacity - lengths]
         chosen: Counter[Pattern] = Counter()
-        for k in np.flatnonzero(cover < 1):
+        for k in np.flatnonzero(value >= NEAR_BEST * value.max()):
             pattern = tuple(sorted([int(lengths[k]), *_fill(lengths, choice, capacity - int(lengths[k]))], reverse=True))
             chosen[pattern] += demand[k]
         added = np.zeros(len(lengths))
@@ -81,7 +83,8 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
         for pattern, amount in chosen.items():
             x[pattern] += amount * scale
         cover += added * scale / demand
-    return x
+    fewest = max(1.0, cover.min()) if len(lengths) else 1.0
+    return {pattern: amount / fewest for pattern, amount in x.items()}
 
 
 def _take(pattern: Pattern, left: Counter, most: int) -> int:
@@ -129,12 +132,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Patt
     if histogram.get(capacity):
         out[(capacity,)] = histogram[capacity]
     x = solve(left, capacity)
-    by_waste = sorted(x, key=lambda p: (capacity - sum(p), -x[p], p))
-    for pattern in by_waste:
+    for pattern in sorted(x, key=lambda p: (-x[p], p)):
         out[pattern] += _take(pattern, left, int(x[pattern]))
-    for pattern in by_waste:
-        if sum(pattern) == capacity:
-            out[pattern] += _take(pattern, left, max(left.values(), default=0))
     out.update(best_fit(left, capacity))
     return sorted((p, c) for p, c in out.items() if c)
 
