@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lake.llm.common import slices, text_or_empty
+from commerce_lake.llm.common import SLICE_ROWS, slices, text_or_empty
 
 PIECE_BYTES = 1024
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 
 #: Text of this kind needs no normaliser but lower(): ASCII and composed Latin-1 letters.
 _PLAIN = re.compile(r"[!-~À-ÿ]+").fullmatch
@@ -210,21 +210,12 @@ def long_run(text: Column, size: int) -> Column:
     return text.rlike(rf"[^\x20\x09-\x0D]{{{size + 1},}}+")
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE_BYTES) -> DataFrame:
-    """id and `ids` (little-endian unsigned 32-bit, binary) for each row of `df`.
-
-    Whole texts, a missing one as empty. Texts with long unsplit runs have these cut, encoded by
-    several tasks and joined up a tree; what is gathered for that is one text at a time.
-    """
+def _encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Rows id, text to encode as they are, and id, ids of the texts with long unsplit runs."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     # a character has up to four bytes, and a run of few characters is short in any case
     unsplit = long_run(F.col("text"), piece // 4)
 
-    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = vocabulary(path)
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([voc.encode(t) for t in batch.column(1).to_pylist()], pa.binary())], ["id", "ids"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path)
         for batch in slices(batches, 16):
@@ -256,13 +247,53 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return pd.DataFrame({"id": rows["id"].iloc[:1].astype("Int64"), "ids": [b"".join(out)]})
 
     _pieces = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("nth", pa.int64()), ("piece", pa.string()), ("unsplit", pa.bool_()), ("last", pa.bool_())])
-    short = rows.where(~unsplit).mapInArrow(plain, "id long, ids binary")
     parts = rows.where(unsplit).withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         cut, "row long, id long, nth long, piece string, unsplit boolean, last boolean"
     )
     spread = parts.repartition("row", "nth").mapInArrow(encoded, "row long, id long, nth long, unsplit boolean, last boolean, ids binary")
     whole = spread.groupBy("row").applyInPandas(joined, "id long, ids binary")
-    return short.union(whole).withColumnRenamed("id", id_col)
+    return rows.where(~unsplit), whole
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE_BYTES) -> DataFrame:
+    """id and `ids` (little-endian unsigned 32-bit, binary) for each row of `df`.
+
+    Whole texts, a missing one as empty. Texts with long unsplit runs have these cut, encoded by
+    several tasks and joined up a tree; what is gathered for that is one text at a time.
+    """
+    short, long_ = _encode(df, path, id_col, text_col, piece)
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = vocabulary(path)
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([voc.encode(t) for t in batch.column(1).to_pylist()], pa.binary())], ["id", "ids"])
+
+    return short.mapInArrow(plain, "id long, ids binary").union(long_).withColumnRenamed("id", id_col)
+
+
+_DECODED = "id long, n_tokens long, ids_sha256 string, decoded string"
+
+
+def _decoded(voc: Vocabulary, ids_of: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+    columns = [
+        ids_of,
+        pa.array([len(x) // 4 for x in ids], pa.int64()),
+        pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
+        pa.array([voc.decode(memoryview(x).cast("I")) for x in ids], pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded"])
+
+
+def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE_BYTES) -> DataFrame:
+    """`decode` of `encode`, in one pass where no text has to be cut, so that a core runs one worker."""
+    short, long_ = _encode(df, path, id_col, text_col, piece)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = vocabulary(path)
+        for batch in slices(batches, SLICE_ROWS // 4):
+            yield _decoded(voc, batch.column(0), [voc.encode(t) for t in batch.column(1).to_pylist()])
+
+    return short.mapInArrow(both, _DECODED).withColumnRenamed("id", id_col).union(decode(long_, path, "id").withColumnRenamed("id", id_col))
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -271,16 +302,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path)
         for batch in slices(batches):
-            ids = [x or b"" for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([sha256(x).hexdigest() for x in ids]),
-                    pa.array([voc.decode(memoryview(x).cast("I")) for x in ids], pa.string()),
-                ],
-                ["id", "n_tokens", "ids_sha256", "decoded"],
-            )
+            yield _decoded(voc, batch.column(0), [x or b"" for x in batch.column(1).to_pylist()])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), ids_col)
-    return rows.mapInArrow(decoded, "id long, n_tokens long, ids_sha256 string, decoded string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(decoded, _DECODED).withColumnRenamed("id", id_col)

@@ -22,8 +22,7 @@ FROM d WINDOW g AS (PARTITION BY norm)
 
 
 def op1_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
-    path = bpe.public_vocabulary()
-    decoded = bpe.decode(bpe.encode(documents(spark, folder), path), path)
+    decoded = bpe.encode_decode(documents(spark, folder), bpe.public_vocabulary())
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

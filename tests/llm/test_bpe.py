@@ -62,6 +62,7 @@ def test_edge_cases(docs, no_docs, library):
     assert got == Counter((r.doc_id, packed(ids(library, r.text or ""))) for r in docs.collect())
     assert bpe.decode(bpe.encode(no_docs, PATH), PATH).count() == 0
     decoded = {(r.doc_id, r.decoded) for r in bpe.decode(encoded, PATH).collect()}
+    assert decoded == {(r.doc_id, r.decoded) for r in bpe.encode_decode(docs, PATH, piece=64).collect()}
     assert decoded == {(r.doc_id, library.decode(ids(library, r.text or ""), skip_special_tokens=False)) for r in docs.collect()}
 
 
