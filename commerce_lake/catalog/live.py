@@ -87,10 +87,10 @@ def _payment_failure_rate(fx):
     f"""SELECT o.user_id AS user_id, CAST(sum(i.price * i.quantity) AS DECIMAL(38,2)) AS total_order_value
         FROM {LATEST_ORDER} o JOIN {LATEST_ITEM} i ON o.order_id = i.order_id
         WHERE o.created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR AND o.created_at <= TIMESTAMP '{AS_OF}'
-        GROUP BY 1 HAVING sum(i.price * i.quantity) > 400""",
+        GROUP BY 1 HAVING sum(i.price * i.quantity) > 4000000""",
 )
 def _abnormal_order(fx):
-    return live.abnormal_order(fx["order"], fx["item_line"], AS_OF, lookback="24 hours")
+    return live.abnormal_order(fx["order"], fx["item_line"], AS_OF, lookback="24 hours", threshold=4_000_000)
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from commerce_lake import fixtures
 from commerce_lake.catalog import DAY, query
 from commerce_lake.catalog.views import hash32
 from commerce_lake.functions.numbers import exact_sum, line_value, sum_or_zero
@@ -116,20 +117,18 @@ def _values_rows(fx):
 
 @query(
     "cross_series",
-    """SELECT g, i, 'Product ' || (g * 6 + i) AS label, coalesce(parts, 0) AS parts
-       FROM (SELECT unnest(range(0, 5)) AS g) AS a CROSS JOIN (SELECT unnest(range(1, 7)) AS i) AS b
-            LEFT JOIN (SELECT p_partkey // 6 % 5 AS pg, p_partkey % 6 + 1 AS pi, count(*) AS parts FROM part GROUP BY 1, 2)
-            ON g = pg AND i = pi""",
+    """SELECT g, i, coalesce(orders, 0) AS orders
+       FROM (SELECT unnest(range(1, 8)) AS g) AS a CROSS JOIN (SELECT unnest(range(0, 24)) AS i) AS b
+            LEFT JOIN (SELECT isodow(created_at) AS d, hour(created_at) AS h, count(*) AS orders FROM t_final GROUP BY 1, 2)
+            ON g = d AND i = h""",
 )
 def _cross_series(fx):
-    """All (group, position) pairs, with the parts numbered into each."""
-    key = F.col("p_partkey")
-    cells = fx.source("part").groupBy(
-        (F.floor(key / 6) % 5).alias("g"), (key % 6 + 1).alias("i")
-    ).agg(F.count("*").alias("parts"))
-    grid = series.number_grid(fx.spark, (0, 4), (1, 6))
-    label = F.concat(F.lit("Product "), (F.col("g") * 6 + F.col("i")).cast("string"))
-    return left_join_default(grid.withColumn("label", label), cells, ["g", "i"], {"parts": 0})
+    """Every weekday and hour with the orders created in it, hours without any included."""
+    at = F.col("created_at")
+    cells = fixtures.final_orders(fx).groupBy(
+        (F.weekday(at) + 1).cast("bigint").alias("g"), F.hour(at).cast("bigint").alias("i")
+    ).agg(F.count("*").alias("orders"))
+    return left_join_default(series.number_grid(fx.spark, (1, 7), (0, 23)), cells, ["g", "i"], {"orders": 0})
 
 
 @query(
@@ -225,6 +224,54 @@ def _dq_unique(fx):
     return quality.duplicate_keys(fx["item_line"], ["order_item_id"])
 
 
+_UNIQUE = [(s.name, c) for s in TABLES.values() for c in s.unique]
+
+
+@query(
+    "dq_unique_columns",
+    " UNION ALL ".join(
+        f"SELECT '{t}.{c}' AS constraint_name, {c} AS key_value, count(*) AS row_count FROM t_{t}{'_change' if t == 'user' else ''} "
+        f"GROUP BY 2 HAVING count(*) > 1"
+        for t, c in _UNIQUE
+    ),
+)
+def _dq_unique_columns(fx):
+    """Values of unique columns that stand in several rows of the change log."""
+    out = None
+    for table, column in _UNIQUE:
+        bad = quality.duplicate_keys(fx[f"{table}_change" if table == "user" else table], [column])
+        bad = bad.select(F.lit(f"{table}.{column}").alias("constraint_name"), F.col(column).alias("key_value"), "row_count")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
+@query("dq_rating", "SELECT review_id, rating FROM t_product_review WHERE NOT (rating BETWEEN 2 AND 5)")
+def _dq_rating(fx):
+    """Reviews outside a range; 1 is left out of it so that the check finds some."""
+    return quality.out_of_range(fx["product_review"], "rating", 2, 5).select("review_id", "rating")
+
+
+_REQUIRED = {s.name: [f.name for f in s.fields if not f.kind.endswith("?")] for s in TABLES.values()}
+
+
+@query(
+    "dq_required_columns",
+    " UNION ALL ".join(
+        f"SELECT '{t}.{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM t_{t}"
+        for t, columns in _REQUIRED.items()
+        for c in columns
+    ),
+)
+def _dq_required_columns(fx):
+    """Missing values of every column that is not optional, one pass over each table."""
+    out = None
+    for table, columns in _REQUIRED.items():
+        found = quality.missing_values(fx[table], columns)
+        found = found.withColumn("column_name", F.concat(F.lit(f"{table}."), F.col("column_name")))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def _orphan_sql(child: str, column: str, parent: str, key: str) -> str:
     absent = "AND category_id <> 0" if (child, column) == ("product", "category_id") else ""
     return (

@@ -33,6 +33,34 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], version: str | Seque
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
+def latest_where(
+    df: DataFrame, keys: str | Sequence[str], predicate: Column, version: str | Sequence[str] = "updated_at"
+) -> DataFrame:
+    """Keys whose newest version satisfies `predicate`, with that version.
+
+    Same as filtering `latest_by_key`. Only keys that satisfy it in some version can do so in
+    their newest, so these are found first, and only their versions are ranked and shuffled.
+    """
+    return _latest_of(df, keys, df.where(predicate), version).where(predicate)
+
+
+def latest_among(
+    df: DataFrame, keys: str | Sequence[str], others: DataFrame, on: str, version: str | Sequence[str] = "updated_at"
+) -> DataFrame:
+    """Newest versions of the keys that refer to `others` by the column `on`, in that version.
+
+    Exact as `latest_where` is: keys that refer to them in some version are ranked.
+    """
+    others = others.select(on).distinct()
+    newest = _latest_of(df, keys, df.join(others, on, "left_semi"), version)
+    return newest.join(others, on, "left_semi")
+
+
+def _latest_of(df: DataFrame, keys: str | Sequence[str], candidates: DataFrame, version: str | Sequence[str]) -> DataFrame:
+    names = [keys] if isinstance(keys, str) else list(keys)
+    return latest_by_key(df.join(candidates.select(*names).distinct(), names, "left_semi"), keys, version)
+
+
 def latest_updated_on(
     df: DataFrame,
     keys: str | Sequence[str],

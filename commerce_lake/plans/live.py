@@ -22,7 +22,7 @@ from commerce_lake.functions.time import (
     local_date,
     within_lookback,
 )
-from commerce_lake.operators.dedup import latest_by_key, latest_updated_on
+from commerce_lake.operators.dedup import latest_among, latest_by_key, latest_updated_on, latest_where
 from commerce_lake.operators.joins import left_join_default
 from commerce_lake.schemas import DAY, SEQ
 
@@ -53,14 +53,14 @@ def _completed_today(orders: DataFrame, as_of: Instant, tz: str, *names: str) ->
     return newest.where(F.col("order_status") == "completed").select("order_id", *names)
 
 
-def _item_totals(items: DataFrame, *keys: str) -> DataFrame:
-    """Quantity and value of the newest item versions, summed per key.
+def _item_totals(items: DataFrame, orders: DataFrame, *keys: str) -> DataFrame:
+    """Quantity and value of the newest item versions of some orders, summed per key.
 
-    Summed before any join: an order or product with very many items becomes
+    Only items that belong to these orders in some version are ranked. Summed before any join: an order or product with very many items becomes
     one row per task ahead of the shuffle.
     """
     columns = dict.fromkeys([*keys, "quantity", "price"])
-    newest = _latest(items, "order_item_id", *columns)
+    newest = latest_among(_pick(items, "order_item_id", *columns), "order_item_id", orders, "order_id")
     return newest.groupBy(*keys).agg(
         F.sum("quantity").alias("quantity"),
         exact_sum(line_value(F.col("price"), F.col("quantity"))).alias("value"),
@@ -75,7 +75,7 @@ def order_revenue(orders: DataFrame, items: DataFrame, as_of: Instant, tz: str =
     """
     done = _completed_today(orders, as_of, tz, "created_at")
     return (
-        done.join(_item_totals(items, "order_id"), "order_id")
+        done.join(_item_totals(items, done, "order_id"), "order_id")
         .groupBy(F.hour("created_at").alias("hour"))
         .agg(
             F.count("*").alias("order_count"),
@@ -110,8 +110,7 @@ def top_selling_product(
     """
     names = _latest(products, "product_id", "name") if latest_products else products
     sold = (
-        _item_totals(items, "order_id", "product_id")
-        .join(_completed_today(orders, as_of, tz), "order_id")
+        _item_totals(items, _completed_today(orders, as_of, tz), "order_id", "product_id")
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("quantity"), F.sum("value").cast(SUM_DECIMAL).alias("value"))
     )
@@ -129,9 +128,10 @@ def top_selling_product(
 
 def payment_failure_rate(payments: DataFrame, as_of: Instant, tz: str = REPORT_TZ) -> DataFrame:
     """Share of failed payments dated today; the newest payment of each order counts."""
-    newest = _latest(payments, "order_id", "status", "payment_date")
+    rows = _pick(payments, "order_id", "status", "payment_date")
+    newest = latest_where(rows, "order_id", is_today(F.col("payment_date"), as_of, tz))
     failed = F.count_if(F.col("status") == "failed")
-    return newest.where(is_today(F.col("payment_date"), as_of, tz)).agg(
+    return newest.agg(
         failed.alias("failed"),
         F.count("*").alias("total"),
         percentage(failed, F.count("*")).alias("failed_rate"),
@@ -148,8 +148,8 @@ def abnormal_order(
 ) -> DataFrame:
     """Users whose recently created orders exceed a value.
 
-    Creation time says nothing about which version is newest, so by default the
-    whole log is ranked. Where no version is stamped before its order's creation
+    Creation time says nothing about which version is newest, so by default all
+    versions of orders created in the look-back are ranked. Where no version is stamped before its order's creation
     set `updates_follow_creation`: the look-back then also bounds the update
     time and only the last partitions are read.
     """
@@ -159,10 +159,9 @@ def abnormal_order(
         rows = rows.where(F.col("updated_at") >= bound)
         if DAY in rows.columns:
             rows = rows.where(F.col(DAY) >= F.to_date(bound))
-    recent = latest_by_key(rows, "order_id").where(within_lookback(F.col("created_at"), as_of, lookback))
+    recent = latest_where(rows, "order_id", within_lookback(F.col("created_at"), as_of, lookback)).select("order_id", "user_id")
     return (
-        recent.select("order_id", "user_id")
-        .join(_item_totals(items, "order_id"), "order_id")
+        recent.join(_item_totals(items, recent, "order_id"), "order_id")
         .groupBy("user_id")
         .agg(F.sum("value").cast(SUM_DECIMAL).alias("total_order_value"))
         .where(F.col("total_order_value") > threshold)
@@ -177,13 +176,14 @@ def abnormal_payment(
     Failures are counted per order and slot before the order lookup; payments
     without an order belong to user 0.
     """
-    newest = _latest(payments, "payment_id", "order_id", "status", "payment_date")
+    rows = _pick(payments, "payment_id", "order_id", "status", "payment_date")
     failures = (
-        newest.where(F.col("status") == "failed")
+        latest_where(rows, "payment_id", F.col("status") == "failed")
         .groupBy("order_id", five_minute_start(F.col("payment_date")).alias("window_start"))
         .agg(F.count("*").alias("n"))
     )
-    owners = _latest(orders, "order_id", "user_id").select("order_id", "user_id")
+    named = orders.join(failures.select("order_id").distinct(), "order_id", "left_semi")
+    owners = _latest(named, "order_id", "user_id").select("order_id", "user_id")
     return (
         left_join_default(failures, owners, "order_id", {"user_id": 0})
         .groupBy("user_id", "window_start")

@@ -19,6 +19,9 @@ from commerce_lake.settings import Settings
 
 # Fixed value: registry framing in front of the Avro body (magic byte, schema id).
 REGISTRY_HEADER_BYTES = 5
+# Messages a micro-batch takes at most, so that a first start does not take the whole backlog at once.
+MAX_OFFSETS = 5_000_000
+REGISTRY_SECONDS = 30
 
 
 def read_events(
@@ -30,6 +33,7 @@ def read_events(
         .option("kafka.bootstrap.servers", settings.kafka)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
+        .option("maxOffsetsPerTrigger", MAX_OFFSETS)
         .load()
     )
 
@@ -37,7 +41,7 @@ def read_events(
 def registry_schema(settings: Settings, topic: str) -> str:
     """Latest value schema of a topic from the schema registry (one small request)."""
     subject = urllib.parse.quote(f"{topic}-value")
-    with urllib.request.urlopen(f"{settings.schema_registry}/subjects/{subject}/versions/latest") as reply:
+    with urllib.request.urlopen(f"{settings.schema_registry}/subjects/{subject}/versions/latest", timeout=REGISTRY_SECONDS) as reply:
         return json.load(reply)["schema"]
 
 

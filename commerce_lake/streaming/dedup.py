@@ -5,18 +5,15 @@ Three guarantees, from cheap to strict:
 * `drop_redeliveries` removes exact repeats that arrive close together;
 * `sinks.write_batches(each=latest_by_key)` keeps the newest version per batch,
   `sinks.read_newest` the newest of all;
-* `newest_by_state` / `suppress_older` remember the newest version of each key.
+* `newest_by_state` remembers the newest version of each key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 from commerce_lake.schemas import SEQ
 
@@ -24,6 +21,9 @@ from commerce_lake.schemas import SEQ
 def drop_redeliveries(stream: DataFrame, keys: Sequence[str], delay: str = "10 minutes") -> DataFrame:
     """Drop rows repeated within `delay`; the first arrival stays, whatever its version.
 
+    Every row more than `delay` behind the newest is dropped as late, a repeat or not: use it only
+    where rows later than that may be lost.
+
     `keys` should identify one version of one row, such as id and update time.
     """
     return stream.withWatermark("updated_at", delay).dropDuplicatesWithinWatermark(list(keys))
@@ -39,39 +39,3 @@ def newest_by_state(stream: DataFrame, key: str, version: str = "updated_at") ->
     rest = [c for c in stream.columns if c != key and c not in first]
     newest = F.max(F.struct(*first, *rest)).alias("newest")
     return stream.groupBy(key).agg(newest).select(key, "newest.*").select(*stream.columns)
-
-
-class _SuppressOlder(StatefulProcessor):
-    """Passes a row on only if it is newer than the last one passed for its key."""
-
-    def __init__(self, version: str):
-        self.version = version
-
-    def init(self, handle) -> None:
-        schema = T.StructType([T.StructField("seen", T.TimestampType())])
-        self.seen = handle.getValueState("seen", schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(self.seen.get()[0]) if self.seen.exists() else None
-        for batch in rows:
-            batch = batch.sort_values(self.version, kind="stable")
-            newer = batch if last is None else batch[batch[self.version] > last]
-            newer = newer.drop_duplicates(self.version, keep="last")
-            if len(newer):
-                last = newer[self.version].iloc[-1]
-                yield newer
-        if last is not None:
-            self.seen.update((last.to_pydatetime(),))
-
-    def close(self) -> None:
-        pass
-
-
-def suppress_older(stream: DataFrame, key: str, version: str = "updated_at") -> DataFrame:
-    """Forward versions in increasing order per key and drop those that arrive too late.
-
-    The state is one timestamp per key, kept for good: state with a lifetime
-    needs processing-time mode, in which a run that drains its source would
-    never end. Needs the RocksDB state store.
-    """
-    return stream.groupBy(key).transformWithStateInPandas(_SuppressOlder(version), stream.schema, "Append", "None")

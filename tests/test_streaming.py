@@ -112,12 +112,6 @@ def test_newest_per_batch(spark, stages):
     assert list(map(tuple, got.collect())) == NEWEST
 
 
-def test_suppress_older(spark, stages):
-    path, schema = stages(lambda s: dedup.suppress_older(s, "id"), "append")
-    got = read_batches(spark, path, schema).select("v").collect()
-    assert sorted(r.v for r in got) == ["a1", "a2", "b1", "b2", "c1"]
-
-
 def test_drop_redeliveries(spark, stages):
     path, schema = stages(lambda s: dedup.drop_redeliveries(s, ["id", "updated_at"]), "append")
     assert sorted(r.v for r in read_batches(spark, path, schema).collect()) == ["a-late", "a1", "a2", "b1", "b2", "c1"]
