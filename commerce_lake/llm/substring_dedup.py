@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_lake.llm.common import stored, text_or_empty
+from commerce_lake.llm.common import slices, stored, text_or_empty
 
 LENGTH = 100
 GRAM = 32
 LONGEST_SEGMENT = 128
-CHUNK_BYTES = 1 << 20
-BLOCK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
+SEGMENT_ROWS = 2048
 HOT_ANCHOR = 4096
 _SEPARATOR, _END = b"\xff", b"\xfe"  # bytes that UTF-8 does not have
 _U = np.uint64
@@ -147,7 +148,7 @@ def _batch(names: list[str], *columns) -> pa.RecordBatch:
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of the documents. Of those equal within a batch only the first goes on; the others
     are removed already, and travel as intervals with a negative count under a key of their own."""
-    for batch in batches:
+    for batch in slices(batches, SEGMENT_ROWS):
         ids, ties = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "tie"))
         found = list(_segments_of(batch.column("text").to_pylist()))
         if not found:
@@ -215,7 +216,7 @@ def _texts_of_segments(blocks: int, hot: int):
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, SEGMENT_ROWS):
             out: list[tuple] = []
             seen: dict[bytes, tuple] = {}
             for i, tie, text, segments in zip(*(batch.column(n).to_pylist() for n in ("id", "tie", "text", "segments"))):
@@ -386,7 +387,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = repeated_spans(rows).groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             merged, kept = [], []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 own = []
