@@ -65,8 +65,10 @@ def _parsed(events: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _is_bad() -> Column:
-    """A value that is there and cannot be parsed; an empty one is a tombstone."""
-    return F.col("_event")[_BAD].isNotNull() & (F.trim(F.col("value").cast("string")) != "")
+    """A value that is there and is no event. An empty one is a tombstone; a single field of a
+    wrong type leaves the rest of `after` and counts as missing."""
+    event = F.col("_event")
+    return event[_BAD].isNotNull() & event["after"].isNull() & (F.trim(F.col("value").cast("string")) != "")
 
 
 def parse_json_events(events: DataFrame, spec: TableSpec, bad: str = "raise") -> DataFrame:

@@ -120,15 +120,29 @@ def test_top_products_use_a_top_k_operator(fx):
     assert read and all("l_discount" not in line and "l_shipmode" not in line for line in read)
 
 
-def test_order_revenue_shuffles_orders_once(fx, spark):
-    """Item totals arrive partitioned by order, as the newest orders already are."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(live.order_revenue(fx["order"], fx["item_line"], "2000-08-03 15:00:00"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    by_order = [line for line in text.splitlines() if "Exchange hashpartitioning(order_id" in line]
-    assert len(by_order) == 2
+def test_live_views_rank_candidate_keys_only(fx):
+    """The semi join on the ranking key stands below the ranking."""
+    at = "2000-08-03 15:00:00"
+    views = {
+        "order_item_id": live.order_revenue(fx["order"], fx["item_line"], at),
+        "payment_id": live.abnormal_payment(fx["payment"], fx["order"]),
+        "order_id": live.payment_failure_rate(fx["payment"], at),
+    }
+    for key, view in views.items():
+        lines = plan(view).splitlines()
+        ranked = next(k for k, line in enumerate(lines) if f"WindowGroupLimit [{key}" in line)
+        assert any("LeftSemi" in line and key in line for line in lines[ranked:]), key
+
+
+def test_malformed_events_raise_or_are_kept(spark):
+    spec = TABLES["category"]
+    good = json.dumps({"after": {"category_id": 1, "name": "a", "created_at": 1_000_000, "updated_at": 1_999_999}})
+    lines = [good, good[:-10], "no json", "[1", "", None, json.dumps({"after": None})]
+    events = spark.createDataFrame([(x,) for x in lines], "value string")
+    with pytest.raises(Exception, match="malformed category event"):
+        cdc.json_to_bronze(events, spec).collect()
+    assert cdc.json_to_bronze(events, spec, bad="skip").count() == 1
+    assert sorted(r.value for r in cdc.rejected_events(events, spec).collect()) == sorted(lines[1:4])
 
 
 def test_day_bound_of_live_views_reaches_the_partitions(spark, tmp_path):
