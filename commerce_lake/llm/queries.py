@@ -21,6 +21,41 @@ FROM d WINDOW g AS (PARTITION BY norm)
 """
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS target FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN strlen(payload) >= 1000 AND page_id < target THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(payload) >= 1000 AND page_id < target THEN target END AS refers_to
+FROM q
+"""
+
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d),
+often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(words, i, i + 7)) AS n FROM places),
+gaps AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS new FROM often WHERE n > 1),
+repeats AS (SELECT doc_id, CAST(sum(new) AS BIGINT) AS n FROM gaps GROUP BY 1),
+counted AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, len(lines) AS n_lines
+  FROM d LEFT JOIN repeats r ON d.doc_id = r.doc_id
+),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 2 * n_capitals > word_chars OR 10 * n_dup_lines > 3 * n_lines) AS kept
+FROM judged
+"""
+
+
 def op1_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     decoded = bpe.encode_decode(documents(spark, folder), bpe.public_vocabulary())
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -74,4 +109,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op2_warc_bundles": WARC_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL, "op9_quality_rules": QUALITY_SQL}
