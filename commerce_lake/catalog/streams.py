@@ -51,6 +51,18 @@ def _order_stream(fx) -> DataFrame:
     return order_versions(table_stream(fx, "orders"))
 
 
+def _order_batches(fx, batches: int = 4) -> DataFrame:
+    """All order versions as a stream of several micro-batches, dealt by id and version.
+
+    The versions of an order come in different batches, and the older one may come later.
+    """
+    folder = work_dir(fx.spark, "order_batches")
+    versions = fx["order"]
+    versions.repartition(batches, "order_id", "_seq").write.parquet(folder)
+    reader = fx.spark.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(folder)
+
+
 @query("bronze_append", "SELECT * FROM t_order")
 def _bronze_append(fx):
     """Every change event becomes a bronze row, none is removed."""
@@ -64,7 +76,7 @@ def _last_seen_dedup(fx):
     """Newest version per micro-batch in the sink, newest of all when read."""
     return drain(
         fx,
-        _order_stream(fx),
+        _order_batches(fx),
         "last_seen",
         each=lambda batch: latest_by_key(batch, "order_id"),
         newest="order_id",
@@ -75,7 +87,7 @@ def _last_seen_dedup(fx):
 @query("newest_by_state", f"SELECT * FROM {LATEST_ORDER}")
 def _newest_by_state(fx):
     """Newest version per key kept in streaming state."""
-    stream = dedup.newest_by_state(_order_stream(fx), "order_id")
+    stream = dedup.newest_by_state(_order_batches(fx), "order_id")
     return drain(fx, stream, "newest_by_state", mode="update", newest="order_id")
 
 
