@@ -290,8 +290,10 @@ def load_facts(lake: Lake, day: dt.date | str, rerun: bool = False, days: list[d
     """Order facts of `day`, and of every date that its silver rows, or those of `days`, belong to.
 
     An item or order may reach the log days after its creation; the facts of its creation date are
-    then built again. Versions of a row are stamped on or after its creation, so silver is read
-    from the first of these dates on. Returns the dates.
+    then built again. Versions of a row are stamped on or after its creation, so silver of orders
+    and items is read from the first of these dates on. An order that ended on one of them may have
+    been shipped and paid before, so shipping and payment of the chosen orders are read unbounded.
+    Returns the dates.
     """
     date = dt.date.fromisoformat(str(day))
     dates = fact_days(lake, sorted({date, *(days or [])}))
@@ -300,7 +302,9 @@ def load_facts(lake: Lake, day: dt.date | str, rerun: bool = False, days: list[d
 
     def newest(name: str, *columns: str, ids: DataFrame | None = None) -> DataFrame:
         key = TABLES[name].key
-        rows = read_silver(lake, name, day).where(F.col(DAY) >= as_date(dates[0]))
+        rows = read_silver(lake, name, day)
+        if ids is None:
+            rows = rows.where(F.col(DAY) >= as_date(dates[0]))
         rows = rows.select(*dict.fromkeys([key, "order_id", *columns, "updated_time", SEQ]))
         if ids is not None:
             rows = rows.join(ids, "order_id", "left_semi")

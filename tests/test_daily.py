@@ -250,3 +250,33 @@ def test_silver_without_dedup_keeps_all_versions(lake):
     assert daily.read_silver(lake, "user", D2).count() == 2
     daily.build_silver(lake, spec, D2)
     assert daily.read_silver(lake, "user", D2).count() == 1
+
+
+def test_rebuilt_date_keeps_shipping_and_payment_of_earlier_days(lake, spark):
+    d5 = "2024-03-05"
+    more = {
+        "order": [
+            (110, 1, "created", Decimal("8.00"), at(f"{D1} 10:00:00"), at(f"{D1} 10:00:00"), 20),
+            (110, 1, "completed", Decimal("8.00"), at(f"{D1} 10:00:00"), at(f"{D3} 12:00:00"), 21),
+            (111, 2, "created", Decimal("3.00"), at(f"{D3} 13:00:00"), at(f"{D3} 13:00:00"), 22),
+            (111, 2, "completed", Decimal("3.00"), at(f"{D3} 13:00:00"), at(f"{d5} 08:00:00"), 23),
+        ],
+        "shipping": [(910, 110, "b", "rome", "00200", "italy", at(f"{D2} 10:00:00"), "", at(f"{D2} 10:00:00"), at(f"{D2} 10:00:00"), 20)],
+        "payment": [(510, 110, Decimal("8.00"), "paypal", at(f"{D2} 11:00:00"), "completed", at(f"{D2} 11:00:00"), at(f"{D2} 11:00:00"), 20)],
+    }
+    for name, rows in more.items():
+        ingest(lake, TABLES[name], rows_of(spark, TABLES[name], rows), 1)
+
+    def completed():
+        facts = lake.read("fact_order").where(f"order_id = 110 AND date_key = '{D3}' AND order_status = 'completed'")
+        return [tuple(r) for r in facts.select("country", "city", "postal_code", "payment_method").collect()]
+
+    def countries():
+        sales = lake.read("daily_transaction").where(f"date_key = '{D3}' AND order_status = 'completed'")
+        return {r.country for r in sales.collect()}
+
+    daily.run_day(lake, D3)
+    before = completed(), countries()
+    assert len(before[0]) == 1 and "" not in before[0][0] and "" not in before[1]
+    daily.run_day(lake, d5)
+    assert (completed(), countries()) == before
