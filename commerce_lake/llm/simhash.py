@@ -270,14 +270,8 @@ def near_duplicates(
     return rows.join(named, "print").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = MAX_DIFFERENT, node_size: int = NODE_SIZE
-) -> DataFrame:
-    """The first row of each component, with all its columns: that with the smallest id.
-
-    Missing ids come last. Of repeated rows one stays.
-    """
-    rows, rooted = _grouped(df, id_col, text_col, budget, node_size)
+def keep_first(df: DataFrame, rows: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first row of `df` in each group: `rows` has id, hash and print of each, `rooted` the root of each print."""
     order = F.struct(F.col("id").isNull().alias("_no_key"), F.coalesce("id", F.lit(-1)).alias("_key"), "hash")
     least = rows.groupBy("print").agg(F.min(order).alias("first"))
     keep = least.join(rooted, "print").groupBy("root").agg(F.min("first").alias("first")).select("first.*").withColumnRenamed("hash", "_hash")
@@ -287,3 +281,14 @@ def drop_near_duplicates(
     )
     nth = F.row_number().over(Window.partitionBy(keys).orderBy(F.lit(1)))
     return keyed.join(keep, keys, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop(*keys, "_nth")
+
+
+def drop_near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = MAX_DIFFERENT, node_size: int = NODE_SIZE
+) -> DataFrame:
+    """The first row of each component, with all its columns: that with the smallest id.
+
+    Missing ids come last. Of repeated rows one stays.
+    """
+    rows, rooted = _grouped(df, id_col, text_col, budget, node_size)
+    return keep_first(df, rows, rooted, id_col, text_col)
