@@ -3,7 +3,9 @@
 Patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers. Their values are
 the protected entities. The corpus tells how strongly a term reveals one: the pointwise mutual
 information of term and entity over the documents, as a share of the information content of the
-entity. Terms near an entity that exceed the thresholds are generalised or removed there.
+entity. Joint counts are of whole documents, for each value and for the group it belongs to (the
+e-mail domain, the IP network, the card issuer, the phone prefix), which judges values of one
+text too. Terms that exceed the thresholds are generalised or removed in the documents of the entity.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ from pyspark.sql import functions as F
 from commerce_lake.llm.common import SLICE_ROWS, slices, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 8
-MIN_TERM = 3
 MIN_SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -80,9 +80,9 @@ def find_base(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def _term(word: str) -> str:
-    """The lower-case word without punctuation around it; empty if too short or not a word."""
+    """The lower-case word without punctuation around it; empty if nothing is left or it is an address."""
     term = word.strip(_PUNCTUATION).lower()
-    return term if len(term) >= MIN_TERM and not _DIGIT.search(term) and "@" not in term else ""
+    return "" if "@" in term else term
 
 
 def _signed(value: str) -> int:
@@ -90,46 +90,53 @@ def _signed(value: str) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
-def _contexts(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) of the terms up to CONTEXT words before and behind each match."""
+def _entities(base: list[tuple[int, int, int, str]]) -> list[int]:
+    """The distinct values of the matches, and their groups."""
+    group = (lambda v: v.rpartition("@")[2], lambda v: v.rpartition(".")[0], lambda v: v[:6], lambda v: v[:4])
+    names = {f"{KINDS[k]}|{v}" for _, k, _, v in base} | {f"{KINDS[k]} group|{group[k](v)}" for _, k, _, v in base}
+    return sorted(_signed(n) for n in names)
+
+
+def _occurrences(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
+    """(term, start, end) of each term outside the matches."""
     words = [m.span() for m in _WORD.finditer(text)]
     ends = [b for _, b in words]
     starts = [a for a, _ in words]
-    taken = [(a, b) for a, _, b, _ in base]
     inside = set()
-    for a, b in taken:
+    for a, _, b, _ in base:
         inside.update(range(bisect_left(ends, a + 1), bisect_left(starts, b)))
     out = []
-    for a, kind, b, value in base:
-        entity = _signed(f"{KINDS[kind]}|{value}")
-        lo, hi = bisect_left(ends, a + 1), bisect_left(starts, b)
-        for k in [*range(max(0, lo - CONTEXT), lo), *range(hi, min(len(words), hi + CONTEXT))]:
-            word = text[slice(*words[k])]
-            if k not in inside and (term := _term(word)):
-                at = words[k][0] + word.lower().find(term) if len(word.lower()) == len(word) else words[k][0]
-                out.append((entity, _signed(term), at, at + len(term)))
+    for k, (a, b) in enumerate(words):
+        word = text[a:b]
+        if k not in inside and (term := _term(word)):
+            at = a + len(word) - len(word.lstrip(_PUNCTUATION))
+            out.append((_signed(term), at, at + len(word.strip(_PUNCTUATION))))
     return out
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 _FOUND = (
     "id long, hash long, base array<struct<start:int,kind:int,end:int>>, "
-    "contexts array<struct<entity:long,term:long,start:int,end:int>>"
+    "entities array<long>, terms array<long>, starts array<int>, ends array<int>"
 )
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        bases, contexts = [], []
+        bases, entities, places = [], [], []
         for text in batch.column(2).to_pylist():
             base = find_base(text)
             bases.append([{"start": a, "kind": k, "end": b} for a, k, b, _ in base])
-            contexts.append([dict(zip(("entity", "term", "start", "end"), c)) for c in _contexts(text, base)] if base else [])
+            entities.append(_entities(base))
+            places.append(_occurrences(text, base) if base else [])
+        part = lambda k, kind: pa.array([[p[k] for p in x] for x in places], pa.list_(kind))  # noqa: B023, E731
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(bases, pa.list_(_SPAN)), pa.array(contexts, pa.list_(_CONTEXT))],
-            ["id", "hash", "base", "contexts"],
-        )
+            [
+                batch.column(0), batch.column(1), pa.array(bases, pa.list_(_SPAN)), pa.array(entities, pa.list_(pa.int64())),
+                part(0, pa.int64()), part(1, pa.int32()), part(2, pa.int32()),
+            ],
+            ["id", "hash", "base", "entities", "terms", "starts", "ends"],
+        )
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,15 +144,15 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 4 * SLICE_ROWS):
         words: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
-            words.update({w.strip(_PUNCTUATION) for w in set(text.lower().split())})
-        terms = [t for t in words if _term(t) == t and t]
+            words.update({_term(w) for w in set(_WORD.findall(text))})
+        terms = [t for t in words if t]
         yield pa.RecordBatch.from_arrays(
             [pa.array([_signed(t) for t in terms], pa.int64()), pa.array([words[t] for t in terms], pa.int64())], ["term", "n"]
         )
 
 
 def found_in(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A stored row for each row of `df`: id, hash of the text, base matches and the terms around them."""
+    """A stored row for each row of `df`: id, hash of the text, base matches, entities and the places of terms."""
     text = text_or_empty(text_col)
     return stored(df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text")).mapInArrow(_find, _FOUND), "pii_found")
 
@@ -156,29 +163,39 @@ def disclosing_terms(
     """entity, term, disclosure: the terms that reveal an entity, by counts over all documents.
 
     Disclosure is log(N n(e,t) / n(e) n(t)) / log(N / n(e)), at most 1; n counts documents. A pair
-    must stand together in `support` different texts, so that copies alone are no evidence.
+    must stand together in `support` different texts, or in all of the entity's where it has fewer,
+    and in two at least, so that copies alone are no evidence.
     """
-    near = found.select("id", "hash", F.explode("contexts").alias("c")).select("id", "hash", "c.entity", "c.term")
-    once = near.groupBy("entity", "term", "hash").agg(F.count_distinct("id").alias("docs"))
-    pairs = stored(
-        once.groupBy("entity", "term").agg(F.sum("docs").alias("joint"), F.count("*").alias("texts")).where(F.col("texts") >= support),
-        "pii_pairs",
-    )
-    entity = near.groupBy("entity", "hash").agg(F.count_distinct("id").alias("docs")).groupBy("entity").agg(F.sum("docs").alias("n_entity"))
+    docs = found.where(F.size("entities") > 0).dropDuplicates(["id", "hash"]).withColumn("doc", F.xxhash64("id", "hash"))
+    entities = docs.select("doc", "hash", F.explode("entities").alias("entity"))
+    counts = entities.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("hash").alias("n_texts")).where("n_texts > 1")
+    held = entities.join(counts, "entity")
+    terms = docs.select("doc", "hash", F.explode(F.array_distinct("terms")).alias("term"))
+    shared = terms.groupBy("term").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a < b").select("term")
     words = df.select(text_or_empty(text_col).alias("text")).mapInArrow(_term_counts, "term long, n long")
-    wanted = words.join(pairs.select("term").distinct(), "term", "left_semi")
-    term = wanted.groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = found.count()
-    counted = pairs.join(entity, "entity").join(term, "term")
-    content = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    shared = F.log(F.lit(float(max(total, 1))) * F.col("joint") / (F.col("n_entity") * F.col("n_term")))
-    return counted.select("entity", "term", F.when(content > 0, shared / content).otherwise(F.lit(0.0)).alias("disclosure")).where(F.col("disclosure") >= threshold)
+    n_term = stored(words.join(shared, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term")), "pii_terms")
+    total = F.lit(float(max(found.count(), 1)))
+    content = F.log(total / F.col("n_entity"))
+    # n(e,t) is n(e) and n(t) at most: pairs whose counts cannot reach the threshold are not made
+    most = F.log(total * F.least("n_entity", "n_term") / (F.col("n_entity") * F.col("n_term")))
+    can = (content > 0) & (most >= F.lit(threshold - 1e-9) * content)
+    both = held.join(terms.join(n_term, "term").drop("hash"), "doc").where(can)
+    key = ["entity", "term", "n_entity", "n_term", "n_texts"]
+    pairs = both.groupBy(*key, "hash").agg(F.count("*").alias("docs")).groupBy(*key).agg(F.sum("docs").alias("joint"), F.count("*").alias("texts"))
+    known = pairs.where(F.col("texts") >= F.least(F.lit(support), F.greatest(F.lit(2), F.col("n_texts"))))
+    shown = F.log(total * F.col("joint") / (F.col("n_entity") * F.col("n_term"))) / content
+    return stored(known.select("entity", "term", shown.alias("disclosure")).where(F.col("disclosure") >= threshold), "pii_pairs")
 
 
 def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """id, hash, terms: for each text the places of terms that reveal an entity near them."""
-    near = found.select("id", "hash", F.explode("contexts").alias("c")).select("id", "hash", "c.*")
-    hit = near.join(terms, ["entity", "term"]).groupBy("id", "hash", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    """id, hash, terms: for each text the places of terms that reveal an entity in it."""
+    docs = found.where(F.size("entities") > 0).dropDuplicates(["id", "hash"])
+    key = F.xxhash64("id", "hash").alias("doc")
+    told = docs.select(key, F.explode("entities").alias("entity")).join(terms, "entity")
+    told = told.groupBy("doc", "term").agg(F.max("disclosure").alias("disclosure"))
+    places = docs.select("id", "hash", key, F.explode(F.arrays_zip("terms", "starts", "ends")).alias("c"))
+    places = places.select("id", "hash", "doc", F.col("c.terms").alias("term"), F.col("c.starts").alias("start"), F.col("c.ends").alias("end"))
+    hit = places.join(told, ["doc", "term"])
     return hit.groupBy("id", "hash").agg(F.collect_list(F.struct("start", "end", "disclosure")).alias("terms"))
 
 
@@ -203,7 +220,7 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = found_in(df, id_col, text_col)
     terms = _term_spans(found, disclosing_terms(df, found, text_col, **limits))
-    rows = _with_terms(found, F.col("id"), F.col("hash"), terms)
+    rows = _with_terms(found.select("id", "hash", "base"), F.col("id"), F.col("hash"), terms)
     extra = F.coalesce(
         F.transform("_terms", lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), t["end"].alias("end"))),
         F.array().cast("array<struct<start:int,kind:int,end:int>>"),

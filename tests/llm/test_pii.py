@@ -65,6 +65,18 @@ def test_terms_that_reveal_an_entity(spark):
     assert "zorblax" not in clean[2] and "jane" not in clean[2] and "<EMAIL>" in clean[2] and clean[130] == rows[36][1]
 
 
+def test_terms_of_rare_entities_far_away_and_with_digits(spark):
+    far = " ".join(["the plan says nothing of note"] * 3)
+    rows = [(k, f"acct77 owner {far} mail p{k}@rare.example") for k in range(4)]  # each address in one text
+    rows += [(10 + k, f"zorblax {far} card 4111 1111 1111 1111 {'x' * (k + 1)}") for k in range(2)]  # an entity in two texts
+    rows += [(100 + k, f"owner mail card {far} {k}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(df).collect()}
+    assert all("term:0:6" in got[k].spans.split(",") and got[k].n_term == 1 for k in range(4))
+    assert all("term:0:7" in got[10 + k].spans.split(",") and got[10 + k].n_term == 1 for k in range(2))
+    assert all(got[100 + k].n_term == 0 for k in range(60))
+
+
 def test_copies_alone_are_no_evidence(spark):
     df = spark.createDataFrame([(k, "alone unusual word near jane@corp.example") for k in range(9)], "doc_id long, text string")
     assert {r.n_term for r in pii.personal_data(df).collect()} == {0}
