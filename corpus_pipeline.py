@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import bpe, exact_dedup, near_dedup, packing, pii, quality
+from commerce_lake.llm import bpe, exact_dedup, packing, pii, quality, simhash
 from commerce_lake.llm.common import documents, stored
 
 
@@ -24,8 +24,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, Jaccard 0.8 or more), that with the smallest id."""
-    return near_dedup.drop_near_duplicates(docs)
+    """One document of each group of near duplicates (three-word SimHash, at most 2 of 64 bits apart), that with the smallest id."""
+    return simhash.drop_near_duplicates(docs, budget=2)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

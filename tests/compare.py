@@ -10,6 +10,7 @@ from pathlib import Path
 
 import duckdb
 
+SMALLEST = Path("/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"

@@ -2,10 +2,10 @@
 
 import compare
 import pytest
-from conftest import DATA
 
 import __spark_entry__ as contract
 
+DATA = compare.SMALLEST
 NAMES = sorted(contract.oracle_sql())
 
 
