@@ -65,7 +65,7 @@ def find_base(text: str) -> list[tuple[int, int, int, str]]:
     out = [(a, 0, b, text[a:b].lower()) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m[0].split("."))):
                 out.append((m.start(), 1, m.end(), m[0]))
         for m in _CARD.finditer(text):
             digits = _digits(m[0]) if m.end() - m.start() >= 12 else ""

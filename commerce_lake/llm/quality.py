@@ -25,7 +25,7 @@ _TRIM = " \t\n\x0b\f\r"
 
 def _words(text: Column) -> Column:
     """The words of a text as an array."""
-    inner = F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    inner = F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, rf"{SPACE}+"))
 
 
@@ -71,7 +71,7 @@ FEATURES = {
     "n_symbols": (lambda c: F.regexp_count(c("text"), F.lit(SYMBOLS)).cast("long"), ("text",)),
     "n_capitals": (lambda c: F.regexp_count(c("text"), F.lit("[A-Z]")).cast("long"), ("text",)),
     "n_dup_lines": (lambda c: _dup_lines(c("text")), ("text",)),
-    "n_lines": (lambda c: F.regexp_count(c("text"), F.lit(rf"(?m)^[^\n]*?{WORD}[^\n]*$")).cast("long"), ("text",)),
+    "n_lines": (lambda c: F.regexp_count(c("text"), F.lit(rf"(?md)^[^\n]*?{WORD}[^\n]*$")).cast("long"), ("text",)),
     "grams": (lambda c: _window_hashes(c("words")), ("words",)),
     "n_repeat_words": (lambda c: _covered(c("grams")), ("grams",)),
 }

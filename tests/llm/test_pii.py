@@ -52,6 +52,15 @@ def test_long_runs_take_linear_time():
         pii.find_base(text)
 
 
+def test_numbers_of_any_length():
+    """Runs of thousands of digits in every part of an address are judged without reading them as one number."""
+    for run, good in (("0" * 5000, True), ("0" * 5000 + "255", True), ("0" * 5000 + "256", False), ("7" * 5000, False)):
+        for part in range(4):
+            text = ".".join(run if k == part else "9" for k in range(4))
+            found = [(m[0], m[2]) for m in pii.find_base(f"x {text} y") if m[1] == 1]
+            assert found == ([(2, 2 + len(text))] if good else []), (run[:3], part)
+
+
 def test_terms_that_reveal_an_entity(spark):
     rows = [(k, f"note {k} says zorblax wrote from jane@corp.example about the plan number{k}x") for k in range(6)]
     rows += [(100 + k, f"the plan says nothing from about note wrote again {k}") for k in range(60)]

@@ -49,3 +49,11 @@ def test_query_keeps_clean_documents(spark):
     assert sum(r.kept or r.base_failed for r in good) >= 0.98 * len(good)
     plan = queries.op9_quality_rules(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_line_separators_beside_the_spaces_of_the_contract(spark):
+    """U+0085, U+2028 and U+2029 are characters of words, also at the end of a text."""
+    marks = ("\x85", " ", " ", "\r", " ", "x \n")
+    texts = [f"{a}foo {b}" for a in ("", *marks[:3]) for b in marks]
+    texts += [f"one one\ntwo{c}\none one" for c in marks]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
