@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import bpe, exact_dedup, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc
+from commerce_lake.llm import (
+    bpe, exact_dedup, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc, whitening,
+)
 from commerce_lake.llm.common import documents
 
 
@@ -103,6 +105,10 @@ def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(named.items(), key=lambda x: int(x[0][2:].split("_")[0])))
