@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.llm import (
-    bpe, exact_dedup, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc, whitening,
+    bpe, exact_dedup, metric_tree, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc, whitening,
 )
 from commerce_lake.llm.common import documents
 
@@ -58,6 +58,22 @@ FROM judged
 """
 
 
+NEAREST_SQL = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, q.r AS r, c.vec_id AS vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+
 def op1_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     decoded = bpe.encode_decode(documents(spark, folder), bpe.public_vocabulary())
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -105,6 +121,10 @@ def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_m_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_tree.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -115,4 +135,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_bundles": WARC_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL, "op9_quality_rules": QUALITY_SQL}
+    return {"op2_warc_bundles": WARC_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL, "op9_quality_rules": QUALITY_SQL, "op11_m_tree_top_k": NEAREST_SQL}
