@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.llm import (
-    bpe, exact_dedup, metric_tree, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc, whitening,
+    bpe, collocations, exact_dedup, metric_tree, packing, pii, quality, sharding, simhash, substring_dedup, toxicity, warc, whitening,
 )
 from commerce_lake.llm.common import documents
 
@@ -74,6 +74,44 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+COLLOCATIONS_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(list_slice(words, i, i + k - 1), ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS o(k) WHERE len(words) >= k
+),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY 1, 2, 3),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+often AS (SELECT * FROM f WHERE n >= 10),
+parts AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM often WHERE k > 1
+),
+cuts AS (
+  SELECT c.lang AS lang, c.k AS k, c.phrase AS phrase, a, cut, l.n AS l, r.n AS r,
+         CAST(1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n) AS BIGINT) AS score
+  FROM parts c JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(words, 1, cut), ' ')
+       JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(words, cut + 1, c.k), ' ')
+),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts) WHERE nth = 1),
+longer AS (
+  SELECT lang, a, unnest([array_to_string(list_slice(words, 1, 2), ' '), array_to_string(list_slice(words, 2, 3), ' ')]) AS phrase
+  FROM parts WHERE k = 3 AND cut = 1
+),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = b.lang AND x.phrase = b.phrase AND 100 * x.a >= 50 * b.a)
+)
+SELECT r.lang AS lang, rank, phrase, a, l, r.r AS r, t.n AS n, score
+FROM ranked r JOIN totals t ON r.lang = t.lang WHERE rank <= 2000
+"""
+
+
 def op1_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     decoded = bpe.encode_decode(documents(spark, folder), bpe.public_vocabulary())
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -125,6 +163,10 @@ def op11_m_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return metric_tree.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -135,4 +177,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_bundles": WARC_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL, "op9_quality_rules": QUALITY_SQL, "op11_m_tree_top_k": NEAREST_SQL}
+    return {"op2_warc_bundles": WARC_SQL, "op8_exact_dedup": EXACT_DEDUP_SQL, "op9_quality_rules": QUALITY_SQL, "op11_m_tree_top_k": NEAREST_SQL,
+            "op12_collocations": COLLOCATIONS_SQL}
