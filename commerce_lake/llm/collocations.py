@@ -45,12 +45,12 @@ _ONE, _TWO, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F
 _COUNTED = "lang string, phrase string, n long"
 
 
-def tokens(text: str) -> Iterator[list[bytes]]:
-    """The lower-case words of a text in parts of about a megabyte, with a full stop at each break."""
+def tokens(text: str, size: int = CHUNK) -> Iterator[list[bytes]]:
+    """The lower-case words of a text in parts of about `size` bytes, with a full stop at each break."""
     data = text.encode("utf-8", "surrogatepass").translate(_PLAIN)
     start = 0
     while start < len(data):
-        gap = _GAP.search(data, start + CHUNK)
+        gap = _GAP.search(data, start + size)
         end = gap.start() if gap else len(data)
         yield data[start:end].replace(_BREAK, b" . ").split()
         start = end
@@ -120,7 +120,9 @@ def count_phrases(docs: DataFrame, order: int, wanted: Wanted | None = None) ->
     """lang, phrase, n: occurrences of the phrases of `order` words in `docs` (lang, text), those with LEAST or more.
 
     For single words there is also a row without a phrase for each language: the number of all words.
+    Tasks sum what they read before the shuffle, half a million words at a time, so a phrase sends few rows.
     """
+    limit, size = TASK_TOKENS, CHUNK
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
@@ -136,10 +138,10 @@ def count_phrases(docs: DataFrame, order: int, wanted: Wanted | None = None) ->
 
         for batch in slices(batches, 256):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for part in tokens(text):
+                for part in tokens(text, size):
                     waiting.setdefault(lang, []).extend(part)
                     held += len(part)
-                    if held >= TASK_TOKENS:
+                    if held >= limit:
                         for each in waiting:
                             yield flushed(each)
                         # a long text goes on: its last words begin the next phrases
@@ -156,7 +158,7 @@ def count_phrases(docs: DataFrame, order: int, wanted: Wanted | None = None) ->
 
 
 def _score(a: str, left: str, right: str) -> Column:
-    """floor(1000000 a a / (left right)), exact: the products are decimals of 38 digits."""
+    """floor(1000000 a a / (left right)), exact below 10^16 occurrences: the products are decimals of 38 digits."""
     wide = lambda c: f"CAST({c} AS DECIMAL(18, 0))"
     return F.expr(f"({wide(a)} * {wide(a)} * {SCORE}BD) div ({wide(left)} * {wide(right)})").cast("long")
 

@@ -86,7 +86,9 @@ def _spread(points: np.ndarray, count: int) -> np.ndarray:
     return np.array(chosen)
 
 
-def grow(tree: int, x: np.ndarray, ids: list[list[int]], router: np.ndarray, square: float) -> list[tuple]:
+def grow(
+    tree: int, x: np.ndarray, ids: list[list[int]], router: np.ndarray, square: float, page_rows: int = PAGE_ROWS, fanout: int = FANOUT
+) -> list[tuple]:
     """The pages of a subtree over the rows of `x`, as rows of PAGE_SCHEMA; page 0 is its root."""
     points, pages = lifted(x, square), []
     rng = np.random.default_rng(len(x))
@@ -98,11 +100,11 @@ def grow(tree: int, x: np.ndarray, ids: list[list[int]], router: np.ndarray, squ
         rows, apart = rows[order], apart[order]
         page = len(pages)
         head = (tree, page, parent, distance, float(apart[-1]), router)
-        if len(rows) <= PAGE_ROWS:
+        if len(rows) <= page_rows:
             pages.append((*head, x[rows].ravel(), [ids[k] for k in rows], apart))
             continue
         pages.append((*head, None, None, None))
-        chosen = rng.choice(len(rows), min(FANOUT, -(-len(rows) // PAGE_ROWS)), replace=False)
+        chosen = rng.choice(len(rows), min(fanout, -(-len(rows) // page_rows)), replace=False)
         near = _nearest(points[rows], points[rows[chosen]])
         groups = [rows[near == k] for k in range(len(chosen))]
         if max(map(len, groups)) > 0.9 * len(rows):
@@ -152,10 +154,12 @@ def build(vectors: DataFrame, keep: int = BEST + 1) -> MTree:
     firsts, counts = (F.array(*(F.lit(int(v)) for v in a)).cast("array<int>") for a in (first, subtrees))
     tree = F.get(firsts, F.col("route")) + F.pmod(F.xxhash64("x"), F.get(counts, F.col("route"))).cast("int")
 
+    page_rows, fanout = PAGE_ROWS, FANOUT
+
     def pages_of(table: pa.Table) -> pa.Table:
         x = matrix(table.column("x").combine_chunks(), dims)
         route = int(table.column("route")[0].as_py())
-        rows = grow(int(table.column("tree")[0].as_py()), x, table.column("ids").to_pylist(), routers[route], square)
+        rows = grow(int(table.column("tree")[0].as_py()), x, table.column("ids").to_pylist(), routers[route], square, page_rows, fanout)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PAGE_TYPES)], _PAGE_NAMES)
 
     grouped = routed.withColumn("tree", tree).groupBy("tree") if len(routers) else routed.withColumn("tree", F.lit(0)).groupBy("tree")
