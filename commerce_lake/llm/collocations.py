@@ -36,7 +36,7 @@ UNKNOWN = "und"
 FIRST = 2
 GROWTH = 4
 MAP_BITS = 26
-TASK_TOKENS = 1 << 19
+TASK_TOKENS = 1 << 18
 CHUNK = 1 << 20
 _BREAK = b"."
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 9)
@@ -120,7 +120,8 @@ def count_phrases(docs: DataFrame, order: int, wanted: Wanted | None = None) ->
     """lang, phrase, n: occurrences of the phrases of `order` words in `docs` (lang, text), those with LEAST or more.
 
     For single words there is also a row without a phrase for each language: the number of all words.
-    Tasks sum what they read before the shuffle, half a million words at a time, so a phrase sends few rows.
+    Tasks sum what they read before the shuffle, a quarter of a million words at a time, so a common
+    phrase sends few rows; the shuffle comes straight after, as a second sum in the task finds little left to add.
     """
     limit, size = TASK_TOKENS, CHUNK
 
@@ -153,7 +154,8 @@ def count_phrases(docs: DataFrame, order: int, wanted: Wanted | None = None) ->
             yield flushed(each)
 
     partial = docs.select("lang", "text").mapInArrow(counted, _COUNTED)
-    total = partial.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = partial.repartition(parts, "lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return total.where((F.col("n") >= LEAST) | F.col("phrase").isNull())
 
 
