@@ -36,6 +36,7 @@ UNKNOWN = "und"
 FIRST = 2
 GROWTH = 4
 MAP_BITS = 26
+PARTS = 32
 TASK_TOKENS = 1 << 18
 CHUNK = 1 << 20
 _BREAK = b"."
@@ -194,10 +195,15 @@ def _triples(found: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _thresholds(pairs: DataFrame, langs: DataFrame, place: int) -> DataFrame:
-    """lang, least: the score of the two-word phrase at `place`; -1, which opens everything, where there are fewer."""
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), "phrase"))
-    at = pairs.select("lang", "score", "phrase").withColumn("nth", nth).where(F.col("nth") <= place).where(F.col("nth") == place)
-    return langs.join(at.select("lang", F.col("score").alias("least")), "lang", "left").fillna(-1, ["least"])
+    """lang, least: a score that `place` two-word phrases or more reach; -1, which opens everything, where there are fewer.
+
+    Scores are counted by their first five binary digits, so a language has a few hundred counts.
+    """
+    digits = "greatest(0, length(bin(score)) - 5)"
+    counts = pairs.groupBy("lang", F.expr(f"shiftleft(shiftright(score, {digits}), {digits})").alias("low")).count()
+    above = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("low")))
+    at = counts.withColumn("above", above).where(F.col("above") >= place).groupBy("lang").agg(F.max("low").alias("least"))
+    return langs.join(at, "lang", "left").fillna(-1, ["least"])
 
 
 def _surviving(pairs: DataFrame, triples: DataFrame, least: DataFrame) -> DataFrame:
@@ -255,8 +261,11 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         if unsettled.isEmpty():
             break
         place *= GROWTH
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = surviving.withColumn("rank", rank).where(F.col("rank") <= best)
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+    # first within parts of a language, of which a final task sees the best alone
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = surviving.withColumn("part", part).where(F.col("part") <= best).withColumn("rank", rank).where(F.col("rank") <= best)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
