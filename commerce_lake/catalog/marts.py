@@ -8,7 +8,7 @@ from commerce_lake.catalog import DAY, query
 from commerce_lake.catalog.dimensions import history, silver
 from commerce_lake.catalog.views import VIEWS, latest
 from commerce_lake.operators import scd2
-from commerce_lake.operators.dedup import latest_by_key
+from commerce_lake.operators.dedup import latest_among, latest_by_key
 from commerce_lake.operators.joins import asof_inner, asof_left, left_join_default
 from commerce_lake.plans import facts, marts
 
@@ -71,15 +71,6 @@ def fact_order(fx, day=DAY):
     )
 
 
-def fact_order_detail(fx, day: str | None = DAY):
-    return facts.fact_order_detail(
-        newest(fx, "order_item", "order_item_id"),
-        history(fx, scd2.DIM_PRODUCT),
-        history(fx, scd2.DIM_CATEGORY),
-        day,
-    )
-
-
 @query("fact_order", "SELECT * FROM f_order")
 def _fact_order(fx):
     return fact_order(fx)
@@ -87,7 +78,8 @@ def _fact_order(fx):
 
 @query("fact_order_detail", "SELECT * FROM f_detail_day")
 def _fact_order_detail(fx):
-    return fact_order_detail(fx)
+    items = newest(fx, "order_item", "order_item_id")
+    return facts.fact_order_detail(items, history(fx, scd2.DIM_PRODUCT), history(fx, scd2.DIM_CATEGORY), DAY)
 
 
 @query(
@@ -102,7 +94,11 @@ def _fact_order_detail(fx):
        GROUP BY 1, 2, 3, 4, 5, 6""",
 )
 def _daily_transaction(fx):
-    return marts.daily_transaction(fact_order(fx), fact_order_detail(fx, None), history(fx, scd2.DIM_CATEGORY), DAY)
+    """Only items of the day's orders are ranked and looked up; their details are those of any day."""
+    orders = facts.orders_of(newest(fx, "order", "order_id"), DAY).select("order_id")
+    items = latest_among(silver(fx, "order_item"), "order_item_id", orders, "order_id", "updated_time")
+    detail = facts.fact_order_detail(items, history(fx, scd2.DIM_PRODUCT), history(fx, scd2.DIM_CATEGORY), None)
+    return marts.daily_transaction(fact_order(fx), detail, history(fx, scd2.DIM_CATEGORY), DAY)
 
 
 @query(

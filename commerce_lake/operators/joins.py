@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.time import as_date
 
 _MATCHED = "_matched"
 _SALT = "_salt"
+_VERSION = "_version"
+# Fixed value: the period whose versions an as-of join looks through.
+PERIOD = "MM"
 
 
 def valid_at(
@@ -36,17 +39,10 @@ def asof_inner(
     """Facts with the dimension version valid at each fact's own date.
 
     Facts without a valid version are dropped: the validity test stands in the
-    WHERE clause of a left join, which makes that join inner.
+    WHERE clause of a left join, which makes that join inner. See `_with_version` for the way.
     """
-    dim = dimension.select(
-        F.col(key).alias("_dim_key"),
-        F.col("start_date").alias("_start"),
-        F.col("end_date").alias("_end"),
-        F.col("is_current").alias("_current"),
-        *columns,
-    )
-    on = (facts[key] == F.col("_dim_key")) & valid_at(at, "_start", "_end", "_current")
-    return facts.join(dim, on, "inner").drop("_dim_key", "_start", "_end", "_current")
+    found = _with_version(facts, dimension, key, at, columns, "inner").where(F.col(_VERSION).isNotNull())
+    return found.withColumns({name: F.col(_VERSION)[name] for name in columns}).drop(_VERSION)
 
 
 def asof_left(
@@ -63,17 +59,55 @@ def asof_left(
     side holds one version per key. A column gives each row its own date.
     """
     if isinstance(at, Column):
-        marked = dimension.select(
-            F.col(key).alias("_dim_key"), "start_date", "end_date", "is_current", F.lit(True).alias(_MATCHED), *columns
-        )
         types = {f.name: f.dataType for f in dimension.schema.fields}
-        filled = {n: F.when(F.col(_MATCHED).isNull(), F.lit(v).cast(types[n])).otherwise(F.col(n)) for n, v in defaults.items()}
-        joined = facts.join(marked, (facts[key] == F.col("_dim_key")) & valid_at(at), "left")
-        return joined.withColumns(filled).drop("_dim_key", "start_date", "end_date", "is_current", _MATCHED)
+        found = _with_version(facts, dimension, key, at, columns, "left")
+        filled = {n: F.when(F.col(_VERSION).isNull(), F.lit(v).cast(types[n])).otherwise(F.col(_VERSION)[n]) for n, v in defaults.items()}
+        return found.withColumns({**{n: F.col(_VERSION)[n] for n in columns}, **filled}).drop(_VERSION)
     dim = dimension.where(valid_at(at)).select(key, *columns)
     return left_join_default(facts, dim, key, defaults)
 
 
+def versions_by_period(dimension: DataFrame, asked: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """key, _period, _versions: the versions that can be valid in each asked (key, _period), by start.
+
+    Versions and asked periods form one stream per key in order of time. The last version before
+    a period is carried into it, and joins those that start within it. A version starts
+    on a day, so a period of a month has at most 32 of them however long the history is.
+    """
+    version = F.struct(F.col("start_date").alias("_start"), F.col("end_date").alias("_end"), F.col("is_current").alias("_current"), *columns)
+    stream = dimension.select(key, F.trunc("start_date", PERIOD).alias("_period"), F.col("start_date").alias("_t"), F.lit(1).alias("_side"), version.alias("_v"))
+    stream = stream.unionByName(asked.select(key, "_period", F.col("_period").alias("_t"), F.lit(0).alias("_side")), allowMissingColumns=True)
+    # a period comes before the versions that start on its first day: these are its own
+    so_far = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = stream.withColumn("_open", F.last("_v", ignorenulls=True).over(so_far))
+    asked_for = F.col("_side") == 0
+    return (
+        carried.groupBy(key, "_period")
+        .agg(
+            F.bool_or(asked_for).alias("_asked"),
+            F.collect_list(F.when(asked_for, F.col("_open")).otherwise(F.col("_v"))).alias("_versions"),
+        )
+        .where("_asked")
+        .select(key, "_period", F.sort_array("_versions").alias("_versions"))
+    )
+
+
+def _with_version(facts: DataFrame, dimension: DataFrame, key: str, at: Column, columns: list[str], how: str) -> DataFrame:
+    """`facts` with the version valid at `at` as a struct, joined by key and period.
+
+    Versions of a key must not overlap, which a type-2 history keeps. Each fact meets one row, with
+    the few versions of its period, so the join gives as many rows as there are facts;
+    it is a plain equi-join, in which Spark splits hot keys and broadcasts a small side.
+    """
+    dated = facts.withColumn("_period", F.trunc(at, PERIOD))
+    asked = dated.select(key, "_period").where(F.col(key).isNotNull() & F.col("_period").isNotNull()).distinct()
+    rows = dated.join(versions_by_period(dimension, asked, key, columns), [key, "_period"], how)
+    day = as_date(at)
+    valid = F.filter("_versions", lambda v: valid_at(day, v["_start"], v["_end"], v["_current"]))
+    # the order of columns is that of `facts`, which the join by name has changed
+    return rows.withColumn(_VERSION, F.try_element_at(valid, F.lit(-1))).select(*facts.columns, _VERSION)
+
+
 def left_join_default(
     left: DataFrame,
     right: DataFrame,

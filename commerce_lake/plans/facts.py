@@ -28,6 +28,12 @@ SCHEMAS = {
 }
 
 
+def orders_of(orders: DataFrame, day: Day | None) -> DataFrame:
+    """Orders with an event on `day`: created on it, or completed or cancelled by an update on it."""
+    on = (lambda at: F.lit(True)) if day is None else (lambda at: on_day(at, day))
+    return orders.where(on(F.col("created_time")) | (on(F.col("updated_time")) & F.col("order_status").isin(*FINAL_STATES)))
+
+
 def fact_order(
     orders: DataFrame, dim_user: DataFrame, shipping: DataFrame, payment: DataFrame, day: Day | None
 ) -> DataFrame:
@@ -45,9 +51,9 @@ def fact_order(
     created, updated, status = F.col("created_time"), F.col("updated_time"), F.col("order_status")
     on = (lambda at: F.lit(True)) if day is None else (lambda at: on_day(at, day))
     ended = on(updated) & status.isin(*FINAL_STATES)
-    todays = orders.select(
-        "order_id", "user_id", "order_status", "total_amount", "created_time", "updated_time"
-    ).where(on(created) | ended)
+    todays = orders_of(
+        orders.select("order_id", "user_id", "order_status", "total_amount", "created_time", "updated_time"), day
+    )
 
     rows = asof_inner(todays, dim_user, "user_id", F.to_date(created), ["user_key"]).drop("user_id")
     rows = left_join_default(

@@ -12,7 +12,7 @@ from commerce_lake.functions.keys import surrogate_key
 from commerce_lake.functions.numbers import percentage, sum_or_zero
 from commerce_lake.functions.text import capitalize_name, clean_string, padded_number
 from commerce_lake.operators.dedup import latest_by_key, latest_updated_on
-from commerce_lake.operators.joins import asof_inner, asof_left, left_join_default
+from commerce_lake.operators.joins import asof_inner, asof_left, left_join_default, valid_at, versions_by_period
 from commerce_lake.operators.quality import missing_values, orphans
 from commerce_lake.operators.sampling import bernoulli_sample, fan_out
 from commerce_lake.operators.silver import to_silver
@@ -220,6 +220,47 @@ def test_asof_left_keeps_unmatched(spark):
     assert rows(got) == [(1, "k1"), (2, ""), (9, "")]
 
 
+def _versions(spark, keys, count):
+    """`count` versions of each key, each valid for one day, but every seventh, which ends a day early."""
+    return spark.range(keys * count).selectExpr(
+        f"id div {count} AS user_id", "concat('v', id) AS user_key",
+        f"date_add(DATE'1800-01-01', CAST(2 * (id % {count}) AS INT)) AS start_date",
+        f"CASE WHEN id % {count} = {count - 1} THEN NULL ELSE "
+        f"date_add(DATE'1800-01-01', CAST(2 * (id % {count}) + IF(id % 7 = 0, 1, 2) AS INT)) END AS end_date",
+        f"IF(id % {count} = {count - 1}, 1, 0) AS is_current",
+    )
+
+
+def test_asof_against_the_range_join(spark):
+    """All dates around the versions, facts of one key in very different numbers, gaps, missing keys and dates."""
+    dim = _versions(spark, 3, 80)
+    facts = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 50 = 1 THEN NULL ELSE id % 5 END AS user_id",
+        "CASE WHEN id % 40 = 7 THEN NULL ELSE date_add(DATE'1799-12-20', CAST(id % 400 AS INT)) END AS d",
+    )
+    on = (facts.user_id == dim.user_id) & valid_at(facts.d, dim.start_date, dim.end_date, dim.is_current)
+    want = rows(facts.join(dim, on).select("id", "user_key"))
+    assert rows(asof_inner(facts, dim, "user_id", F.col("d"), ["user_key"]).select("id", "user_key")) == want and want
+    kept = {k: v for k, v in want}
+    got = asof_left(facts, dim, "user_id", F.col("d"), ["user_key"], {"user_key": "none"})
+    assert got.columns == ["id", "user_id", "d", "user_key"]
+    assert {r.id: r.user_key for r in got.collect()} == {k: kept.get(k, "none") for k in range(3000)}
+
+
+def test_asof_joins_a_fact_with_one_row_however_many_versions_its_key_has(spark, tmp_path):
+    """One key with 100,000 versions and all facts: the join gives as many rows as there are facts."""
+    dim = _versions(spark, 1, 100_000)
+    facts = spark.range(20_000).selectExpr("id", "0L AS user_id", "date_add(DATE'1800-01-01', CAST(10 * id AS INT)) AS d")
+    found = asof_inner(facts, dim, "user_id", F.col("d"), ["user_key"])
+    # every fact stands on the first day of a two-day version, so each has one
+    assert found.count() == found.select("id").distinct().count() == 20_000
+    lookup = versions_by_period(dim, facts.select("user_id", F.trunc("d", "MM").alias("_period")).distinct(), "user_id", ["user_key"])
+    sizes = lookup.select(F.max(F.size("_versions")), F.count("*"), F.count_distinct("user_id", "_period")).first()
+    assert sizes[0] <= 32 and sizes[1] == sizes[2]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "start_date" not in plan.split("Join Inner")[1].split("\n")[0]
+
+
 # --- alerts ---------------------------------------------------------------------
 
 
