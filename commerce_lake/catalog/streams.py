@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.catalog import query
-from commerce_lake.catalog.views import LATEST_ORDER
+from commerce_lake.catalog.views import LATEST_ITEM, LATEST_ORDER, latest
 from commerce_lake.fixtures import order_versions
 from commerce_lake.operators.dedup import latest_by_key
 from commerce_lake.schemas import TABLES
 from commerce_lake.session import rocksdb_state, work_dir
 from commerce_lake.sources import cdc
-from commerce_lake.streaming import alerts, dedup
+from commerce_lake.streaming import alerts, dedup, stateful
 from commerce_lake.streaming.sinks import read_batches, read_newest, write_batches
 
 
@@ -63,6 +63,23 @@ def _order_batches(fx, batches: int = 4) -> DataFrame:
     return reader.parquet(folder)
 
 
+def _in_time(fx, table: DataFrame, at: str = "updated_at", batches: int = 4) -> DataFrame:
+    """A table as a stream of micro-batches, each of a span of time after the one before."""
+    folder = work_dir(fx.spark, "spans")
+    first, last = table.agg(F.min(F.unix_seconds(at)), F.max(F.unix_seconds(at))).first()
+    span = ((last or 0) - (first or 0)) // batches + 1
+    for k in range(batches):
+        start = (first or 0) + k * span
+        inside = (F.unix_seconds(at) >= start) & (F.unix_seconds(at) < start + span)
+        table.where(inside).coalesce(1).write.mode("append").parquet(folder)
+    return fx.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _mart(fx, deltas: DataFrame, purpose: str, keys: Sequence[str]) -> DataFrame:
+    """A mart kept by deltas: each micro-batch adds its sums, and the mart is the sum of all."""
+    return stateful.summed(drain(fx, deltas, purpose, each=lambda batch: stateful.summed(batch, keys)), keys)
+
+
 @query("bronze_append", "SELECT * FROM t_order")
 def _bronze_append(fx):
     """Every change event becomes a bronze row, none is removed."""
@@ -157,3 +174,56 @@ def _stream_stuck_order(fx):
     created = _order_stream(fx).where(F.col("_seq") == 1)
     ended = _order_stream(fx).where(F.col("order_status").isin("completed", "cancelled"))
     return drain(fx, alerts.stuck_order(created, ended), "stuck_order")
+
+
+@query("last_seen_state", f"SELECT * FROM {LATEST_ORDER}")
+def _last_seen_state(fx):
+    """Versions newer than the last one seen, whose state ends a week later; the sink shows the newest."""
+    stream = stateful.last_seen(_in_time(fx, fx["order"]), "order_id")
+    return drain(fx, stream, "last_seen_state", newest="order_id", version=["updated_at", "_seq"])
+
+
+@query(
+    "stream_stuck_order_timers",
+    f"""SELECT order_id, created_at, date_trunc('hour', created_at) + INTERVAL 2 HOUR AS alert_time
+        FROM {LATEST_ORDER}
+        WHERE order_status = 'created'
+          AND date_trunc('hour', created_at) + INTERVAL 2 HOUR <= (SELECT max(updated_at) - INTERVAL 10 MINUTE FROM t_order)""",
+)
+def _stuck_order_timers(fx):
+    """Orders that are stuck when the watermark stands ten minutes before the last event."""
+    stream = stateful.stuck_orders(_in_time(fx, fx["order"]))
+    newest = drain(fx, stream, "stuck_timers", newest="order_id", version=["updated_at", "stuck"])
+    return newest.where("stuck").select("order_id", "created_at", "alert_time")
+
+
+@query(
+    "stream_order_revenue",
+    f"""SELECT CAST(o.updated_at AS DATE) AS sales_day, CAST(hour(o.created_at) AS INTEGER) AS hour,
+               count(DISTINCT o.order_id) AS order_count, CAST(sum(i.quantity) AS BIGINT) AS items_sold,
+               CAST(sum(i.price * i.quantity) AS DECIMAL(38,2)) AS revenue
+        FROM {LATEST_ORDER} o JOIN {LATEST_ITEM} i ON o.order_id = i.order_id
+        WHERE o.order_status = 'completed' GROUP BY 1, 2""",
+)
+def _stream_order_revenue(fx):
+    """Sales of all days and hours, kept by deltas over micro-batches that mix early and late versions."""
+    items = fx["item_line"].select("order_item_id", "order_id", "quantity", "price", "updated_at", "_seq")
+    folder = work_dir(fx.spark, "item_batches")
+    items.repartition(4, "order_item_id", "_seq").write.parquet(folder)
+    lines = fx.spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return _mart(fx, stateful.revenue_deltas(_order_batches(fx), lines), "order_revenue", ["sales_day", "hour"])
+
+
+@query(
+    "stream_payment_failure_rate",
+    f"""SELECT CAST(payment_date AS DATE) AS payment_day, count(*) FILTER (status = 'failed') AS failed, count(*) AS total,
+               round_even(100.0::DOUBLE * count(*) FILTER (status = 'failed') / count(*), 2) AS failed_rate
+        FROM {latest('t_payment', 'order_id')} GROUP BY 1""",
+)
+def _stream_payment_failure_rate(fx):
+    """Failure rates of all days, kept by deltas while newer attempts replace failed ones."""
+    payments = fx["payment"]
+    folder = work_dir(fx.spark, "payment_batches")
+    payments.repartition(4, "payment_id").write.parquet(folder)
+    stream = fx.spark.readStream.schema(payments.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return stateful.failure_rates(_mart(fx, stateful.payment_deltas(stream), "payment_rate", ["payment_day"]))
