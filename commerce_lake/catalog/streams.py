@@ -16,7 +16,7 @@ from commerce_lake.fixtures import order_versions
 from commerce_lake.operators.dedup import latest_by_key
 from commerce_lake.schemas import TABLES
 from commerce_lake.session import rocksdb_state, work_dir
-from commerce_lake.sources import cdc
+from commerce_lake.sources import cdc, segments
 from commerce_lake.streaming import alerts, dedup, stateful
 from commerce_lake.streaming.sinks import read_batches, read_newest, write_batches
 
@@ -88,6 +88,15 @@ def _bronze_append(fx):
     return drain(fx, cdc.json_to_bronze(events, spec), "bronze_append")
 
 
+@query("bronze_from_segments", "SELECT * EXCLUDE (_seq) FROM t_order")
+def _bronze_from_segments(fx):
+    """Order events as a log of segments, read by offsets from the earliest on."""
+    spec, folder = TABLES["order"], work_dir(fx.spark, "segments")
+    segments.write_log(cdc.to_json_events(fx["order"], spec), folder, partitions=4)
+    events = segments.read_events(fx.spark, folder, "earliest")
+    return drain(fx, cdc.json_to_bronze(events, spec), "bronze_from_segments").drop("_seq")
+
+
 @query("last_seen_dedup", f"SELECT * FROM {LATEST_ORDER}")
 def _last_seen_dedup(fx):
     """Newest version per micro-batch in the sink, newest of all when read."""
