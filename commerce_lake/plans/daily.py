@@ -19,7 +19,8 @@ from commerce_lake.functions.time import as_date
 from commerce_lake.operators import scd2
 from commerce_lake.operators.dedup import latest_by_key
 from commerce_lake.operators.silver import to_silver
-from commerce_lake.plans import facts, marts
+from commerce_lake.plans import facts, marts, publication
+from commerce_lake.plans.publication import Ledger, Publication
 from commerce_lake.schemas import BATCH, DAY, SEQ, TABLES, TableSpec
 from commerce_lake.sources import tables
 
@@ -47,11 +48,13 @@ class Lake:
         return tables.exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        """A fact, mart or load log with its declared schema; empty if never written."""
-        schema = facts.SCHEMAS.get(table) or marts.SCHEMAS.get(table) or _LOADS_SCHEMA
+        """A fact or mart as last published, or a load log, with its declared schema; empty if never written."""
+        schema = facts.SCHEMAS.get(table) or marts.SCHEMAS.get(table)
+        if schema is not None:
+            return publication.read(self, table, schema, publication.current(self)[1].get(table, {}))
         if not self.exists(table):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+            return self.spark.createDataFrame([], _LOADS_SCHEMA)
+        return self.spark.read.schema(_LOADS_SCHEMA).parquet(self.path(table))
 
     def bronze_schema(self, spec: TableSpec) -> StructType:
         return spec.bronze_schema().add(SEQ, LongType()).add(DAY, DateType()).add(BATCH, LongType())
@@ -261,21 +264,16 @@ def load_dimension(lake: Lake, dim: scd2.Dimension, day: dt.date | str, rerun: b
 # --- facts and marts ------------------------------------------------------------
 
 
-def _write_days(lake: Lake, table: str, rows: DataFrame, days: list[dt.date], sort: list[str]) -> None:
-    """Replace the partitions of `days`; a day without rows loses what it had.
-
-    A run cut off in between leaves them out until it is repeated.
-    """
-    for day in days:
-        tables.drop_partition(lake.spark, lake.path(table), "date_key", day)
-    lake.write(rows, table, "date_key", sort)
-
-
 def _refuse(lake: Lake, table: str, day: dt.date | str) -> None:
-    if not lake.read(table).where(F.col("date_key") == as_date(day)).isEmpty():
+    if publication.current(lake)[1].get(table, {}).get(str(day)) is not None:
         raise AlreadyProcessed(f"{table}: {day} already processed")
 
 
+def _staged(out: Publication, table: str) -> DataFrame:
+    """A table as this run will publish it."""
+    return publication.read(out.lake, table, facts.SCHEMAS.get(table) or marts.SCHEMAS[table], out.days(table))
+
+
 def fact_days(lake: Lake, days: list[dt.date]) -> list[dt.date]:
     """The dates whose facts depend on the silver partitions of `days`: these and the creation dates in them."""
     until = max(days)
@@ -286,15 +284,18 @@ def fact_days(lake: Lake, days: list[dt.date]) -> list[dt.date]:
     return sorted(found)
 
 
-def load_facts(lake: Lake, day: dt.date | str, rerun: bool = False, days: list[dt.date] | None = None) -> list[dt.date]:
+def load_facts(
+    lake: Lake, day: dt.date | str, rerun: bool = False, days: list[dt.date] | None = None, into: Publication | None = None
+) -> list[dt.date]:
     """Order facts of `day`, and of every date that its silver rows, or those of `days`, belong to.
 
     An item or order may reach the log days after its creation; the facts of its creation date are
     then built again. Versions of a row are stamped on or after its creation, so silver of orders
     and items is read from the first of these dates on. An order that ended on one of them may have
     been shipped and paid before, so shipping and payment of the chosen orders are read unbounded.
-    Returns the dates.
+    Returns the dates. They are published at once, or with the rest of `into`.
     """
+    out = into or Publication(lake)
     date = dt.date.fromisoformat(str(day))
     dates = fact_days(lake, sorted({date, *(days or [])}))
     if not rerun:
@@ -321,47 +322,84 @@ def load_facts(lake: Lake, day: dt.date | str, rerun: bool = False, days: list[d
         newest("payment", "payment_method", ids=ids),
         None,
     ).where(F.col("date_key").isin(dates))
-    _write_days(lake, "fact_order", rows, dates, ["order_id", "user_key"])
+    out.write("fact_order", rows, dates, ["order_id", "user_key"])
     items = newest("order_item", "product_id", "quantity", "price_amount", "created_time").where(in_dates("created_time"))
     details = facts.fact_order_detail(
         items, read_dimension(lake, scd2.DIM_PRODUCT), read_dimension(lake, scd2.DIM_CATEGORY), None
     )
-    _write_days(lake, "fact_order_detail", details, dates, ["order_id"])
+    out.write("fact_order_detail", details, dates, ["order_id"])
+    if into is None:
+        out.commit()
     return dates
 
 
-def load_marts(lake: Lake, day: dt.date | str, rerun: bool = False, days: list[dt.date] | None = None) -> None:
-    """Marts of `day` and of the other dates whose facts were built again."""
-    fact = lake.read("fact_order")
-    detail = lake.read("fact_order_detail")
+def load_marts(
+    lake: Lake, day: dt.date | str, rerun: bool = False, days: list[dt.date] | None = None, into: Publication | None = None
+) -> None:
+    """Marts of `day` and of the other dates whose facts were built again, published at once or with the rest of `into`."""
+    out = into or Publication(lake)
+    fact, detail = _staged(out, "fact_order"), _staged(out, "fact_order_detail")
     if not rerun:
         _refuse(lake, "daily_transaction", day)
     for date in sorted({dt.date.fromisoformat(str(day)), *(days or [])}):
         sales = marts.daily_transaction(fact, detail, read_dimension(lake, scd2.DIM_CATEGORY), date)
-        _write_days(lake, "daily_transaction", sales, [date], ["order_status", "country"])
+        out.write("daily_transaction", sales, [date], ["order_status", "country"])
         users = marts.daily_user(fact, read_dimension(lake, scd2.DIM_USER), date)
-        _write_days(lake, "daily_user", users, [date], ["active_user"])
+        out.write("daily_user", users, [date], ["active_user"])
+    if into is None:
+        out.commit()
 
 
 def run_day(lake: Lake, day: dt.date | str, rerun: bool = False, dedup_silver: bool = True) -> None:
-    """All steps of one day, in dependency order. `rerun` repeats a finished or cut-off day.
+    """All steps of one day, in dependency order. `rerun` repeats a finished day.
 
     Rows of earlier days that came late are moved too; their silver days, the dimensions, and the
-    facts and marts they belong to are built again. Hot batches are dropped at the very end, so a
-    run that is repeated after a failure finds the same ones.
+    facts and marts they belong to are built again. Facts and marts are published together; hot
+    batches are dropped at the very end. A run that was cut off is continued by the next call for
+    its day, from the first step that is not in its ledger.
     """
+    ledger = Ledger(lake, day)
+    try:
+        if not (rerun or ledger.resumed):
+            _refuse(lake, "fact_order", day)
+        _run_steps(lake, ledger, day, rerun or ledger.resumed, dedup_silver)
+    except (AlreadyProcessed, publication.ConcurrentRun) as refused:
+        ledger.finish(type(refused).__name__)
+        raise
+    ledger.finish()
+
+
+def _run_steps(lake: Lake, ledger: Ledger, day: dt.date | str, rerun: bool, dedup_silver: bool) -> None:
     date = dt.date.fromisoformat(str(day))
-    batches: dict[str, list[tuple]] = {}
-    moved: dict[str, list[dt.date]] = {}
-    for spec in TABLES.values():
-        batches[spec.name] = copy_to_cold(lake, spec, day)
-        moved[spec.name] = sorted({d for d, _ in batches[spec.name] if d < date})
-        for each in sorted({date, *moved[spec.name]}):
-            build_silver(lake, spec, each, dedup_silver)
+    base = ledger.step("begin", lambda: publication.current(lake)[0])
+    copied = ledger.step("copy", lambda: {spec.name: copy_to_cold(lake, spec, day) for spec in TABLES.values()})
+    batches = {name: [(dt.date.fromisoformat(d), batch) for d, batch in found] for name, found in copied.items()}
+    moved = {name: sorted({d for d, _ in found if d < date}) for name, found in batches.items()}
+
+    def silver() -> None:
+        for spec in TABLES.values():
+            for each in sorted({date, *moved[spec.name]}):
+                build_silver(lake, spec, each, dedup_silver)
+
+    ledger.step("silver", silver)
     for dim in scd2.DIMENSIONS.values():
-        first = last_load(lake, dim) is None
-        load_dimension(lake, dim, day, rerun, late=bool(moved[dim.source]) or first)
-    days = load_facts(lake, day, rerun, sorted({d for x in moved.values() for d in x}))
-    load_marts(lake, day, rerun, days)
+        late = bool(moved[dim.source]) or last_load(lake, dim) is None
+        ledger.step(dim.name, lambda dim=dim, late=late: load_dimension(lake, dim, day, rerun, late=late))
+
+    def build() -> dict:
+        out = Publication(lake, ledger.run, base)
+        days = load_facts(lake, day, True, sorted({d for x in moved.values() for d in x}), into=out)
+        load_marts(lake, day, True, days, into=out)
+        return out.staged
+
+    staged = ledger.step("build", build)
+
+    def publish() -> None:
+        out = Publication(lake, ledger.run, base, staged)
+        # the commit itself may be what was cut off before its note
+        if out.published != {**out.published, **{t: out.days(t) for t in staged}}:
+            out.commit()
+
+    ledger.step("publish", publish)
     for spec in TABLES.values():
         drop_from_hot(lake, spec, batches[spec.name])

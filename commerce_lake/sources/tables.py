@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is absent."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that appears as a whole; False if the name is taken, which then stays as it is."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(conf)
+    hidden = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    plain = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(hidden), fs.makeQualified(target), plain)
+    except Py4JJavaError as error:
+        fs.delete(hidden, False)
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
 def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
     """Delete one partition folder; no-op if it is absent."""
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")

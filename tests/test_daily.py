@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from commerce_lake.operators import scd2
-from commerce_lake.plans import daily, live
+from commerce_lake.plans import daily, live, publication
 from commerce_lake.schemas import BATCH, DAY, TABLES
 from commerce_lake.sources import tables
 
@@ -280,3 +280,63 @@ def test_rebuilt_date_keeps_shipping_and_payment_of_earlier_days(lake, spark):
     assert len(before[0]) == 1 and "" not in before[0][0] and "" not in before[1]
     daily.run_day(lake, d5)
     assert (completed(), countries()) == before
+
+
+# --- publication and ledger -----------------------------------------------------
+
+
+def test_a_cut_off_run_is_invisible_and_goes_on_where_it_stopped(lake, monkeypatch):
+    for day in (D1, D2):
+        daily.run_day(lake, day)
+    before = snapshot(lake)
+    seen = {name: before[name] for name in ("fact_order", "fact_order_detail", "daily_transaction", "daily_user")}
+    published = lambda: {name: rows for name, rows in snapshot(lake).items() if name in seen}
+    calls = []
+    real_copy, real_user = daily.copy_to_cold, daily.marts.daily_user
+    monkeypatch.setattr(daily, "copy_to_cold", lambda *a: calls.append(a[1].name) or real_copy(*a))
+
+    def broken(*a):
+        assert published() == seen  # the facts of the day are written, and no reader sees them
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(daily.marts, "daily_user", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        daily.run_day(lake, D3)
+    assert published() == seen and len(calls) == len(TABLES)
+    monkeypatch.setattr(daily.marts, "daily_user", real_user)
+    real_drop = daily.drop_from_hot
+    monkeypatch.setattr(daily, "drop_from_hot", broken_after := lambda *a: (_ for _ in ()).throw(RuntimeError("late")))
+    with pytest.raises(RuntimeError, match="late"):
+        daily.run_day(lake, D3)
+    after = published()
+    assert after != seen and len(calls) == len(TABLES) and broken_after
+    monkeypatch.setattr(daily, "drop_from_hot", real_drop)
+    daily.run_day(lake, D3)  # only the last step is left
+    assert published() == after and len(calls) == len(TABLES)
+    assert lake.read_bronze(TABLES["order"], "hot").isEmpty()
+    with pytest.raises(daily.AlreadyProcessed):
+        daily.run_day(lake, D3)
+    daily.run_day(lake, D3, rerun=True)
+    assert published() == after
+
+
+def test_of_two_runs_from_one_version_the_second_fails(lake, spark):
+    for day in (D1, D2):
+        daily.run_day(lake, day)
+    one, two = publication.Publication(lake), publication.Publication(lake)
+    table, schema = "daily_user", daily.marts.SCHEMAS["daily_user"]
+    rows = lambda n: spark.createDataFrame([(n, 0, dt.date.fromisoformat(D3))], schema)
+    one.write(table, rows(1), [D3], ["active_user"])
+    two.write(table, rows(2), [D3], ["active_user"])
+    assert lake.read(table).where(f"date_key = '{D3}'").isEmpty()
+    one.commit()
+    with pytest.raises(publication.ConcurrentRun):
+        two.commit()
+    assert [r.active_user for r in lake.read(table).where(f"date_key = '{D3}'").collect()] == [1]
+    # an emptied day, and what no manifest names any more
+    three = publication.Publication(lake)
+    three.write(table, rows(1).where("false"), [D3], ["active_user"])
+    three.commit()
+    assert lake.read(table).where(f"date_key = '{D3}'").isEmpty()
+    kept = snapshot(lake)
+    assert publication.vacuum(lake, keep=1) == 2 and snapshot(lake) == kept
