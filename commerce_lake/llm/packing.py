@@ -2,9 +2,11 @@
 
 Only the histogram over the lengths reaches the driver, at most one count for each length. There
 the configuration linear program is solved by multiplicative weights: a knapsack dynamic program
-prices the ways to fill a sequence, and lengths covered less get dearer. The fractional solution
-is rounded down, and what is left is placed best-fit-decreasing, lengths of one kind at a time.
-Pieces then find their sequence by their rank among pieces of the same length.
+prices the ways to fill a sequence, and lengths covered less get dearer. The amounts are rounded
+down, then up in the order of their fractions while pieces last, and the program is solved again for
+what is left. A share of each length is kept back for the end: it goes, with the last few pieces,
+best-fit-decreasing into the room left in sequences. Pieces then find their sequence by their rank
+among pieces of the same length.
 """
 
 from __future__ import annotations
@@ -23,68 +25,76 @@ from commerce_lake.llm.common import slices, stored, text_or_empty
 
 CAPACITY = 2048
 END_OF_TEXT = b"\0\0\0\0"
-ROUNDS = 100
-RATE = 8.0
-STEP = 0.04
-NEAR_BEST = 0.9
+RATE = 4.0  # of the weights
+PASSES, MOST_PASSES = 2.0, 10.0  # how often the program covers every length before it is scaled down; few lengths: more often
+BATCH = 0.1  # coverage between two runs of the dynamic program
+NEAR_BEST = 0.999  # of the best value, among which the least covered length is taken
+OPENS = 0.9  # of the best value: a filling for a length is made from there on; below, its price has to rise first
+KEPT_BACK = 0.07
+LAST = 0.02  # share of the pieces that is left to best-fit
+CLOSE = 0.995  # best-fit alone replaces the program only where it needs less than this share of its sequences
 
 Pattern = tuple[int, ...]
 
 
-def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value for each capacity and the index of a length that reaches it (-1: leave a token empty)."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """Best value for each capacity."""
+    best = np.zeros(capacity + 1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
         best[c] = best[c - 1]
         if n := fits[c]:
-            value = prices[:n] + best[c - lengths[:n]]
-            k = int(value.argmax())
-            if value[k] > best[c] + 1e-12:
-                best[c], choice[c] = value[k], k
-    return best, choice
-
-
-def _fill(lengths: np.ndarray, choice: np.ndarray, room: int) -> list[int]:
-    out = []
-    while room > 0:
-        k = choice[room]
-        if k < 0:
-            room -= 1
-        else:
-            out.append(int(lengths[k]))
-            room -= lengths[k]
-    return out
+            best[c] = max(best[c], (prices[:n] + best[c - lengths[:n]]).max())
+    return best
+
+
+def _fill(first: int, amount: float, lengths: np.ndarray, demand: np.ndarray, cover: np.ndarray, prices: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """How often each length stands in a filling of near the best value around length number `first`.
+
+    `amount` of it must not need more of a length than there is, so a rare length does not narrow
+    the step of the others.
+    """
+    used, most = np.zeros(len(lengths)), demand // amount
+    used[first] = 1
+    room = len(best) - 1 - int(lengths[first])
+    while n := int(np.searchsorted(lengths, room, side="right")):
+        value = np.where(used[:n] < most[:n], prices[:n] + best[room - lengths[:n]], 0)
+        if (top := value.max()) <= 0:
+            break
+        near = np.flatnonzero(value >= NEAR_BEST * top)
+        k = near[(cover[near] + used[near] * amount / demand[near]).argmin()]
+        used[k] += 1
+        room -= int(lengths[k])
+    return used
+
 
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[Pattern, float]:
+    """Fractional numbers of filled sequences that cover the histogram.
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[Pattern, float]:
-    """Fractional numbers of filled sequences that about cover the histogram."""
+    Each filling is made for the length covered least and adds a step of its demand, or one
+    sequence where that is more.
+    """
     lengths = np.array(sorted(histogram), np.int64)
+    if not len(lengths):
+        return {}
     demand = np.array([histogram[int(n)] for n in lengths], float)
-    index = {int(n): k for k, n in enumerate(lengths)}
+    step = min(0.1, max(0.02, len(lengths) / 5_000))
+    passes = max(PASSES, min(MOST_PASSES, 400 / len(lengths)))
     cover, x = np.zeros(len(lengths)), Counter()
-    for _ in range(rounds):
-        if not len(lengths) or cover.min() >= 1:
-            break
+    while cover.min() < passes:
         # a length's weight is its share of the tokens, times exp(-rate x coverage)
-        prices = lengths / capacity * np.exp(-RATE * (np.minimum(cover, 2) - cover.min()))
-        best, choice = _knapsack(lengths, prices, capacity)
-        # the dearest filling with each length in it, where that is near the dearest of all
+        prices = lengths / capacity * np.exp(-RATE * (cover - cover.min()))
+        best = _knapsack(lengths, prices, capacity)
         value = prices + best[capacity - lengths]
-        chosen: Counter[Pattern] = Counter()
-        for k in np.flatnonzero(value >= NEAR_BEST * value.max()):
-            pattern = tuple(sorted([int(lengths[k]), *_fill(lengths, choice, capacity - int(lengths[k]))], reverse=True))
-            chosen[pattern] += demand[k]
-        added = np.zeros(len(lengths))
-        for pattern, amount in chosen.items():
-            for n in pattern:
-                added[index[n]] += amount
-        scale = STEP / (added / demand).max()
-        for pattern, amount in chosen.items():
-            x[pattern] += amount * scale
-        cover += added * scale / demand
-    fewest = max(1.0, cover.min()) if len(lengths) else 1.0
-    return {pattern: amount / fewest for pattern, amount in x.items()}
+        open_ = np.flatnonzero(value >= OPENS * value.max())
+        goal = cover[open_].min() + BATCH
+        while cover[k := int(open_[cover[open_].argmin()])] < goal:
+            amount = max(1.0, step * demand[k])
+            used = _fill(k, amount, lengths, demand, cover, prices, best)
+            on = np.flatnonzero(used)[::-1]
+            cover[on] += amount * used[on] / demand[on]
+            x[tuple(int(lengths[i]) for i in on for _ in range(int(used[i])))] += amount
+    return {pattern: amount / cover.min() for pattern, amount in x.items()}
 
 
 def _take(pattern: Pattern, left: Counter, most: int) -> int:
@@ -96,9 +106,14 @@ def _take(pattern: Pattern, left: Counter, most: int) -> int:
     return max(times, 0)
 
 
-def best_fit(histogram: Counter, capacity: int) -> Counter:
-    """Best-fit-decreasing over counts: sequences by what they hold, with how many there are."""
+def best_fit(histogram: Counter, capacity: int, begun: dict[Pattern, int] | None = None) -> Counter:
+    """Best-fit-decreasing over counts: sequences by what they hold, with how many there are.
+
+    Sequences that have `begun` take in what fits.
+    """
     rooms: list[dict[Pattern, int]] = [{} for _ in range(capacity + 1)]
+    for pattern, count in (begun or {}).items():
+        rooms[capacity - sum(pattern)][pattern] = count
     for n in sorted((n for n in histogram if histogram[n] > 0), reverse=True):
         left, room = histogram[n], n
         while left and room <= capacity:
@@ -125,16 +140,43 @@ def best_fit(histogram: Counter, capacity: int) -> Counter:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
-    """Sequences by content, with how many of each, that hold exactly the pieces of the histogram."""
-    left = Counter({n: c for n, c in histogram.items() if c > 0 and n < capacity})
+def filled(histogram: Counter, capacity: int) -> Counter:
+    """Sequences by the rounded linear program; takes what they hold out of `histogram`.
+
+    KEPT_BACK of the pieces, spread over the lengths, stay, and at most LAST of them besides.
+    """
+    kept, share = Counter(), 0.0
+    for n in sorted(histogram):
+        share += histogram[n] * KEPT_BACK
+        kept[n] = min(int(share), histogram[n])
+        share -= kept[n]
+    histogram.subtract(kept)
+    few = LAST * histogram.total()
     out: Counter[Pattern] = Counter()
+    while histogram.total() > few:
+        x = solve(+histogram, capacity)
+        for pattern in sorted(x, key=lambda p: (-x[p], p)):
+            out[pattern] += _take(pattern, histogram, int(x[pattern]))
+        for pattern in sorted(x, key=lambda p: (int(x[p]) - x[p], p)):
+            out[pattern] += _take(pattern, histogram, 1)
+    histogram.update(kept)
+    return +out
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Sequences by content, with how many of each, that hold exactly the pieces of the histogram.
+
+    With a handful of lengths the weights may stop short of the program's optimum; then best-fit
+    alone is taken.
+    """
+    pieces = Counter({n: c for n, c in histogram.items() if c > 0 and n < capacity})
+    left = pieces.copy()
+    out = best_fit(left, capacity, filled(left, capacity))
+    alone = best_fit(pieces, capacity)
+    if alone.total() < CLOSE * out.total():
+        out = alone
     if histogram.get(capacity):
-        out[(capacity,)] = histogram[capacity]
-    x = solve(left, capacity)
-    for pattern in sorted(x, key=lambda p: (-x[p], p)):
-        out[pattern] += _take(pattern, left, int(x[pattern]))
-    out.update(best_fit(left, capacity))
+        out[(capacity,)] += histogram[capacity]
     return sorted((p, c) for p, c in out.items() if c)
 
 

@@ -28,6 +28,53 @@ def test_plan_holds_the_histogram(seed):
     assert sum(c for _, c in plan) <= best_fit * 1.01 + 2
 
 
+def fewest(pieces, capacity):
+    """The least number of sequences, by trying every place of every piece."""
+    best = len(pieces)
+
+    def place(k, loads):
+        nonlocal best
+        if len(loads) >= best:
+            return
+        if k == len(pieces):
+            best = len(loads)
+            return
+        for i in range(len(loads)):
+            if loads[i] + pieces[k] <= capacity and loads[i] not in loads[:i]:
+                place(k + 1, [*loads[:i], loads[i] + pieces[k], *loads[i + 1 :]])
+        place(k + 1, [*loads, pieces[k]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_small_histograms_against_all_packings(seed):
+    rng = random.Random(seed)
+    pieces = sorted((rng.randrange(1, 21) for _ in range(11)), reverse=True)
+    assert sum(c for _, c in packing.plan(Counter(pieces), 20)) <= fewest(pieces, 20) + 1
+
+
+def test_the_program_places_nearly_all():
+    rng = random.Random(5)
+    for pieces in ([rng.randrange(600, 1201) for _ in range(20_000)], [min(2047, int(rng.lognormvariate(6, 1)) + 1) for _ in range(5000)]):
+        left = Counter(pieces)
+        placed = packing.filled(left, 2048)
+        held = Counter()
+        for pattern, count in placed.items():
+            for n in pattern:
+                held[n] += count
+        assert held + left == Counter(pieces) and held.total() >= 0.9 * len(pieces)
+        fitted = sum(packing.best_fit(Counter(pieces), 2048).values())
+        assert sum(c for _, c in packing.plan(Counter(pieces))) <= fitted * 1.003 + 1
+
+
+def test_better_than_best_fit_where_pieces_are_large():
+    rng = random.Random(6)
+    pieces = Counter(rng.randrange(600, 1201) for _ in range(20_000))
+    assert sum(c for _, c in packing.plan(pieces)) < sum(packing.best_fit(pieces, 2048).values())
+
+
 def test_empty_histogram():
     assert packing.plan({}) == []
 
