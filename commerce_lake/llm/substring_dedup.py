@@ -29,7 +29,10 @@ LONGEST_SEGMENT = 128
 CHUNK_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 19
 SEGMENT_ROWS = 2048
-HOT_ANCHOR = 4096
+TEXT_ROWS = 64
+ROW_BYTES = 500  # about what Python needs for a row on its way to a block
+HELD_BYTES = 1 << 24
+HOT_ANCHOR = 4096  # different segments of an anchor, beyond which their strings go on one by one
 _SEPARATOR, _END = b"\xff", b"\xfe"  # bytes that UTF-8 does not have
 _U = np.uint64
 _TABLE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -166,42 +169,56 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_SEG_NAMES, spread, np.zeros(len(rdoc), np.int64), ids[rdoc], ties[rdoc], rstart, rstart - rend)
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments by anchor, content and place -> removed intervals (kind 0) and segments to index (kind 1)."""
-
-    def decide(t: pa.Table) -> pa.RecordBatch:
-        key, content, ids, ties, start, count = (t.column(n).to_numpy() for n in _SEG_NAMES)
-        done = count < 0
-        new_key = np.ones(len(key), bool)
-        new_key[1:] = key[1:] != key[:-1]
-        live = np.flatnonzero(~done)
-        k, c = key[live], content[live]
-        first = np.ones(len(live), bool)
-        first[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-        group = np.cumsum(new_key)[live]
-        members = np.bincount(group[first], minlength=len(key) + 2)[group]
-        chosen = first & ((members > 1) | (count[live] > _PERIODIC))
-        copies, open_ = live[~first], live[chosen]
-        rows = np.concatenate([np.flatnonzero(done), copies, open_])
-        kind = np.concatenate([np.zeros(done.sum() + len(copies), np.int32), np.ones(len(open_), np.int32)])
-        # bytes of an interval, or strings of a segment
-        more = np.full(len(count), LENGTH - 1)
-        more[open_] = 0
-        count = np.where(count < 0, -count, count % _PERIODIC + more)
-        groups = np.concatenate([np.zeros(len(rows) - len(open_), np.int64), members[chosen]])
-        return _batch(_OUT_NAMES, kind, ids[rows], ties[rows], start[rows], count[rows], key[rows], groups)
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        key = batch.column("key").to_numpy()
-        last = int(np.searchsorted(key, key[-1]))  # the last anchor may go on in the next batch
-        if last == 0 and held and held[-1].column("key")[-1].as_py() == key[-1]:
-            held.append(batch)
-            continue
-        yield decide(pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()) if held or last else decide(pa.Table.from_batches([batch.slice(0, 0)]))
-        held = [batch.slice(last)]
-    if held:
-        yield decide(pa.Table.from_batches(held).combine_chunks())
+def _compared(hot: int):
+    """Segments by anchor, content and place -> removed intervals (kind 0) and segments to index (kind 1).
+
+    Of an anchor only the first segment of each content is held, and at most `hot` of these: with
+    more the anchor counts as one of `hot` + 1 members, and its segments go on at once.
+    """
+
+    def removed(*columns: np.ndarray) -> pa.RecordBatch:
+        none = np.zeros(len(columns[0]), np.int64)
+        return _batch(_OUT_NAMES, none.astype(np.int32), *columns, none, none)
+
+    def opened(firsts: np.ndarray, crowded: int | None) -> pa.RecordBatch:
+        key, ids, ties, start, count = firsts
+        _, group, sizes = np.unique(key, return_inverse=True, return_counts=True)
+        members = sizes[group]
+        if crowded is not None:
+            members[key == crowded] = hot + 1
+        go = (members > 1) | (count > _PERIODIC)
+        return _batch(_OUT_NAMES, np.ones(go.sum(), np.int32), ids[go], ties[go], start[go], count[go] % _PERIODIC, key[go], members[go])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, crowded = np.empty((5, 0), np.int64), None, None
+        for batch in batches:
+            key, content, ids, ties, start, count = (batch.column(n).to_numpy() for n in _SEG_NAMES)
+            done = count < 0
+            if done.any():
+                yield removed(ids[done], ties[done], start[done], -count[done])
+            live = ~done
+            if not live.any():
+                continue
+            content = content[live]
+            rows = np.stack([key[live], ids[live], ties[live], start[live], count[live]])
+            first = np.ones(len(content), bool)
+            first[1:] = (rows[0, 1:] != rows[0, :-1]) | (content[1:] != content[:-1])
+            first[0] = (rows[0, 0], content[0]) != last
+            last = rows[0, -1], content[-1]
+            copies = rows[:, ~first]
+            if copies.size:
+                yield removed(*copies[1:4], copies[4] % _PERIODIC + LENGTH - 1)
+            held = np.concatenate([held, rows[:, first]], axis=1)
+            open_ = held[0] == last[0]  # the last anchor may go on in the next batch
+            yield opened(held[:, ~open_], crowded)
+            held = held[:, open_]
+            if crowded == last[0] or held.shape[1] > hot:
+                crowded = last[0]
+                yield opened(held, crowded)
+                held = held[:, :0]
+        yield opened(held, crowded)
+
+    return compare
 
 
 _BLOCK = "block long, id long, tie long, start long, count long, bytes binary"
@@ -212,31 +229,48 @@ def _texts_of_segments(blocks: int, hot: int):
     """Cuts the segments to index out of their documents.
 
     Where an anchor has very many different segments, their strings go on one by one, under a key
-    made of the whole string; of equal ones in a batch only the first.
+    made of the whole string; of equal ones at hand only the first. What is at hand is bounded in
+    bytes, and so are the batches that go on.
     """
 
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int64()] * 5 + [pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], _BLOCK_NAMES)
+
+    def firsts(seen: dict[bytes, tuple]) -> Iterator[tuple]:
+        for string, place in seen.items():
+            yield int.from_bytes(sha256(string).digest()[:7], "big") % blocks, *place, 1, string
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, SEGMENT_ROWS):
+        for batch in slices(batches, TEXT_ROWS):
             out: list[tuple] = []
             seen: dict[bytes, tuple] = {}
-            for i, tie, text, segments in zip(*(batch.column(n).to_pylist() for n in ("id", "tie", "text", "segments"))):
-                for s in segments:
-                    a, n, key = s["start"], s["count"], s["anchor"]
-                    if s["members"] <= hot:
+            held = 0
+            ids, ties = (batch.column(n).to_pylist() for n in ("id", "tie"))
+            segments = batch.column("segments")
+            ends = segments.offsets.to_numpy()
+            fields = [segments.values.field(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            for r, (i, tie) in enumerate(zip(ids, ties)):
+                text = batch.column("text")[r].as_py()
+                for k in range(ends[r], ends[r + 1]):
+                    a, n, key, members = (int(f[k]) for f in fields)
+                    if members <= hot:
                         out.append((key % blocks, i, tie, a, n, text[a : a + n + LENGTH - 1]))
-                        continue
-                    for b in range(a, a + n):
-                        string, place = text[b : b + LENGTH], (i, tie, b)
-                        earlier = seen.get(string)
-                        if earlier is None or place < earlier:
-                            seen[string], place = place, earlier
-                        if place:
-                            out.append((hash(place) % blocks, *place, -LENGTH, b""))
-            for string, place in seen.items():
-                out.append((int.from_bytes(sha256(string).digest()[:7], "big") % blocks, *place, 1, string))
-            if out:
-                types = [pa.int64()] * 5 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], _BLOCK_NAMES)
+                        held += n + ROW_BYTES
+                    else:
+                        for b in range(a, a + n):
+                            string, place = text[b : b + LENGTH], (i, tie, b)
+                            earlier = seen.get(string)
+                            if earlier is None or place < earlier:
+                                seen[string], place = place, earlier
+                            if place:
+                                out.append((hash(place) % blocks, *place, -LENGTH, b""))
+                        held += n * ROW_BYTES
+                    if held > HELD_BYTES:
+                        yield rows([*out, *firsts(seen)])
+                        out, seen, held = [], {}, 0
+            if out or seen:
+                yield rows([*out, *firsts(seen)])
 
     return cut
 
@@ -341,8 +375,14 @@ def _indexed(table: pa.Table) -> pa.Table:
     live = np.flatnonzero(count > 0)
     live = live[np.lexsort((start[live], ties[live], ids[live]))]
     if len(live):
-        column = table.column("bytes")
-        found = repeated_strings([column[int(k)].as_py() for k in live], count[live])
+        column, known, again = table.column("bytes"), {}, []
+        for k in live:
+            if known.setdefault(column[int(k)].as_py(), k) != k:
+                again.append(k)
+        # a segment that stands here before is removed as a whole; the index holds the different ones
+        out.append((ids[again], ties[again], start[again], start[again] + count[again] + LENGTH - 1))
+        live = np.fromiter(known.values(), np.int64)
+        found = repeated_strings(list(known), count[live])
         row = np.repeat(live, [len(x) for x in found])
         a = start[row] + np.concatenate(found)
         doc, a, b = _merged(row, a, a + LENGTH)
@@ -365,10 +405,12 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     long_ = rows.where(F.octet_length("text") >= LENGTH)
     order = ["key", "content", "id", "tie", "start"]
     segments = long_.mapInArrow(_segments, _SEG).repartition("key").sortWithinPartitions(*order)
-    compared = stored(segments.mapInArrow(_compared, _OUT), "segments")
+    compared = stored(segments.mapInArrow(_compared(HOT_ANCHOR), _OUT), "segments")
     copies = compared.where("kind = 0").select("id", "tie", "start", (F.col("start") + F.col("count")).alias("end"))
     open_ = compared.where("kind = 1")
-    total = open_.agg(F.coalesce(F.sum(F.col("count") + LENGTH), F.lit(0)).alias("n")).first()["n"]
+    # strings of crowded anchors come one by one
+    size = F.when(F.col("members") > HOT_ANCHOR, F.col("count") * (LENGTH + 1)).otherwise(F.col("count") + LENGTH)
+    total = open_.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // BLOCK_BYTES))
     per_doc = open_.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "count", "anchor", "members")).alias("segments"))
     cut = long_.join(per_doc, ["id", "tie"]).mapInArrow(_texts_of_segments(blocks, HOT_ANCHOR), _BLOCK)
