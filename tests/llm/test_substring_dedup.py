@@ -79,3 +79,23 @@ def test_query(spark):
     want = dict(zip((r.doc_id for r in rows), brute([(r.text or "").encode() for r in rows])))
     got = queries.op10_suffix_repeats(spark, str(DATA)).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
+def test_crowded_anchor_is_held_to_the_bound():
+    """One anchor with 100,000 different segments, each there twice, between two others."""
+    import pyarrow as pa
+
+    n, hot = 100_000, 50
+    content = np.repeat(np.arange(n), 2)
+    key = np.full(2 * n, 7)
+    columns = [np.concatenate([[3, 3], key, [9]]), np.concatenate([[1, 2], content, [5]])]
+    size = len(columns[0])
+    columns += [np.arange(size), np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, 4)]
+    rows = pa.table(dict(zip(substring_dedup._SEG_NAMES, (c.astype(np.int64) for c in columns))))
+    out = [b for b in substring_dedup._compared(hot)(iter(rows.to_batches(max_chunksize=997)))]
+    assert max(b.num_rows for b in out) <= 997 + hot
+    found = pa.Table.from_batches(out)
+    kind, ids, members, count = (found.column(c).to_numpy() for c in ("kind", "id", "members", "count"))
+    assert sorted(ids[kind == 0]) == list(range(3, 2 * n + 2, 2)) and (count[kind == 0] == 4 + LENGTH - 1).all()
+    assert sorted(ids[kind == 1]) == [0, 1, *range(2, 2 * n + 2, 2)] and (count[kind == 1] == 4).all()
+    assert (members[(kind == 1) & (ids > 1)] > hot).all() and (members[(kind == 1) & (ids < 2)] == 2).all()
