@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from commerce_lake.catalog import DAY, INITIAL_DAY, query
@@ -9,8 +11,10 @@ from commerce_lake.catalog.views import VIEWS, capitalized, clean, key_of
 from commerce_lake.functions.keys import surrogate_key
 from commerce_lake.functions.time import calendar_columns
 from commerce_lake.operators import scd2
+from commerce_lake.operators.dedup import latest_by_key
 from commerce_lake.operators.silver import to_silver
 from commerce_lake.schemas import TABLES
+from commerce_lake.sources import series
 
 # --- silver ---------------------------------------------------------------------
 
@@ -183,3 +187,21 @@ def _dim_date(fx):
         fx["order"].where(F.col("_seq") == 2).groupBy(F.to_date("created_at").alias("d")).agg(F.count("*").alias("order_count"))
     )
     return days.select(*calendar_columns(F.col("d")), "order_count")
+
+
+@query(
+    "dim_date_orders",
+    """SELECT d AS date_key, CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
+              CASE WHEN isodow(d) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend, dayname(d) AS day_name,
+              coalesce(order_count, 0) AS order_count
+       FROM (SELECT CAST(DATE '1992-01-01' + CAST(n AS INTEGER) AS DATE) AS d FROM range(27393) r(n))
+            LEFT JOIN (SELECT CAST(created_at AS DATE) AS day, count(*) AS order_count FROM t_final GROUP BY 1) ON d = day""",
+)
+def _dim_date_orders(fx):
+    """The whole calendar, begun with the first year of the orders, and the orders of each day."""
+    orders = latest_by_key(fx["order"], "order_id")
+    counts = orders.groupBy(F.to_date("created_at").alias("date_key")).agg(F.count("*").alias("order_count"))
+    days = series.calendar(orders.sparkSession, dt.date(1992, 1, 1))
+    return days.join(counts, "date_key", "left").select(
+        "date_key", "quarter", "year", "is_weekend", "day_name", F.coalesce("order_count", F.lit(0)).alias("order_count")
+    )

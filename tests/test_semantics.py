@@ -350,3 +350,14 @@ def test_surrogate_key_is_unique_per_version(spark):
         surrogate_key(F.col("id"), "2024-01-01").alias("a"), surrogate_key(F.col("id"), "2024-01-02").alias("b")
     )
     assert df.select("a").union(df.select("b")).distinct().count() == 200
+
+
+def test_day_sketches_unite_without_counting_twice(spark):
+    from commerce_lake.operators import distinct
+
+    rows = [(f"2025-01-{1 + k % 20:02d}", "a", k % 500) for k in range(4000)] + [("2025-02-01", "a", 1), ("2025-02-01", "b", None)]
+    df = spark.createDataFrame(rows, "day string, kind string, user long")
+    days = distinct.day_sketches(df, F.to_date("day"), ["kind"], ["user"])
+    got = {(str(r.period), r.kind): r.user for r in distinct.distinct_in(days, F.trunc("date_key", "month"), ["kind"], ["user"]).collect()}
+    assert abs(got["2025-01-01", "a"] - 500) <= 25
+    assert (got["2025-02-01", "a"], got["2025-02-01", "b"]) == (1, 0)
