@@ -105,6 +105,19 @@ def _abnormal_payment(fx):
     return live.abnormal_payment(fx["payment"], fx["order"], threshold=1)
 
 
+@query(
+    "live_abnormal_payment_week",
+    f"""SELECT coalesce(o.user_id, 0) AS user_id, count(*) AS failed_count,
+               time_bucket(INTERVAL 7 DAY, p.payment_date, TIMESTAMP '1970-01-01') AS window_start,
+               time_bucket(INTERVAL 7 DAY, p.payment_date, TIMESTAMP '1970-01-01') + INTERVAL 7 DAY AS window_end
+        FROM {LATEST_PAYMENT} p LEFT JOIN {LATEST_ORDER} o ON p.order_id = o.order_id
+        WHERE p.status = 'failed' GROUP BY 1, 3, 4 HAVING count(*) >= 2""",
+)
+def _abnormal_payment_week(fx):
+    """Slots of a week, in which the limit keeps some groups and rejects the others."""
+    return live.abnormal_payment(fx["payment"], fx["order"], threshold=2, slot_minutes=7 * 24 * 60)
+
+
 @query(
     "live_stuck_order",
     f"""SELECT order_id, created_at, TIMESTAMP '{AS_OF}' AS "current_time",

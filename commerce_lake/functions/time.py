@@ -53,10 +53,15 @@ def hour_boundaries(start: Column, end: Column) -> Column:
     return F.call_function("div", hours, F.lit(3600).cast("bigint"))
 
 
+def slot_start(ts: Column, minutes: int) -> Column:
+    """Start of the slot of `minutes`, counted from 1970-01-01, that contains `ts`."""
+    slot = F.unix_seconds(ts) - F.pmod(F.unix_seconds(ts), F.lit(60 * minutes).cast("bigint"))
+    return F.timestamp_seconds(slot)
+
+
 def five_minute_start(ts: Column) -> Column:
     """Start of the five-minute slot that contains `ts`."""
-    slot = F.unix_seconds(ts) - F.pmod(F.unix_seconds(ts), F.lit(300).cast("bigint"))
-    return F.timestamp_seconds(slot)
+    return slot_start(ts, 5)
 
 
 def iso_weekday(d: Column) -> Column:

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from commerce_lake.functions.numbers import SUM_DECIMAL, exact_sum, line_value, percentage
 from commerce_lake.functions.time import (
     as_timestamp,
-    five_minute_start,
     hour_boundaries,
     is_today,
     local_date,
+    slot_start,
     within_lookback,
 )
 from commerce_lake.operators.dedup import latest_among, latest_by_key, latest_updated_on, latest_where
@@ -169,9 +169,9 @@ def abnormal_order(
 
 
 def abnormal_payment(
-    payments: DataFrame, orders: DataFrame, threshold: int = FAILED_PAYMENT_LIMIT
+    payments: DataFrame, orders: DataFrame, threshold: int = FAILED_PAYMENT_LIMIT, slot_minutes: int = 5
 ) -> DataFrame:
-    """Users with several failed payments inside one five-minute slot.
+    """Users with several failed payments inside one slot of `slot_minutes`.
 
     Failures are counted per order and slot before the order lookup; payments
     without an order belong to user 0.
@@ -179,7 +179,7 @@ def abnormal_payment(
     rows = _pick(payments, "payment_id", "order_id", "status", "payment_date")
     failures = (
         latest_where(rows, "payment_id", F.col("status") == "failed")
-        .groupBy("order_id", five_minute_start(F.col("payment_date")).alias("window_start"))
+        .groupBy("order_id", slot_start(F.col("payment_date"), slot_minutes).alias("window_start"))
         .agg(F.count("*").alias("n"))
     )
     named = orders.join(failures.select("order_id").distinct(), "order_id", "left_semi")
@@ -193,7 +193,7 @@ def abnormal_payment(
             "user_id",
             "failed_count",
             "window_start",
-            (F.col("window_start") + F.expr("INTERVAL 5 MINUTES")).alias("window_end"),
+            (F.col("window_start") + F.make_interval(mins=F.lit(slot_minutes))).alias("window_end"),
         )
     )
 
