@@ -25,6 +25,8 @@ from commerce_lake.session import work_dir
 
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 256 * 1024 * 1024
+RUN_FRAMES = 16
+TASK_BYTES = 16 * 1024 * 1024
 REVISIT_BYTES = 1000
 # Fixed values of the seekable format: magic numbers of the skippable frame and of its footer.
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -198,13 +200,18 @@ def _page(reference: str) -> int | None:
     return int(number) if (number := reference.removeprefix("<urn:page:").removesuffix(">")) else None
 
 
-def read_bundles(index: DataFrame) -> DataFrame:
+def read_bundles(index: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to of each record in the index.
 
-    A frame is read and unpacked once, whichever of its records the index names. The digest of a
-    response is taken from its content and held against its header.
+    A frame is read and unpacked once, whichever of its records the index names. Runs of
+    neighbouring frames are dealt over a task for each `task_bytes` of records, as the small rows of the
+    index say nothing about the bytes behind them. The digest of a response is taken from its
+    content and held against its header.
     """
-    frames = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list(F.struct("offset", "bytes"))).alias("records"))
+    size = index.agg(F.sum("bytes")).first()[0] or 0
+    runs = index.withColumn("run", F.floor(F.col("frame") / RUN_FRAMES)).repartition(size // task_bytes + 1, "bundle", "run")
+    records = F.sort_array(F.collect_list(F.struct("offset", "bytes"))).alias("records")
+    frames = runs.groupBy("bundle", "run", "frame").agg(records).drop("run").sortWithinPartitions("bundle", "frame")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = BundleReader()

@@ -3,6 +3,7 @@
 from collections import Counter
 
 from corpus_helpers import DATA, WORD
+from pyspark.sql import functions as F
 
 from commerce_lake.llm import quality, queries
 
@@ -41,6 +42,23 @@ def test_order_does_not_change_the_verdict(docs):
     assert {r.name for r in quality.rule_order(docs)} == {r.name for r in quality.RULES}
 
 
+def test_cascade_computes_a_feature_once(docs):
+    """Filters between the features would be pushed below them and repeat them for each rule."""
+    out = quality.cascade(docs.withColumn("_q_words", F.lit("own")).withColumn("a.b", F.lit(1)))
+    assert out.columns == [*docs.columns, "_q_words", "a.b"]
+    assert all(r["_q_words"] == "own" for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == quality.with_features(docs, ("words", "n_dup_lines"), "text")._jdf.queryExecution().optimizedPlan().toString().count("split(")
+
+
+def test_features_of_rejected_texts_are_left_out(docs):
+    judged = quality.with_verdict(docs, quality.RULES)
+    assert judged.where("_q_kept IS NULL").count() == 0
+    first = F.col("_q_kept_0")
+    assert judged.where(~first & F.col("_q_n_symbols").isNotNull()).count() == 0
+    assert judged.where(first & F.col("_q_grams").isNull()).count() == 0
+
+
 def test_query_keeps_clean_documents(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{n}.parquet") for n in ("documents", "labels"))
     rows = {r.doc_id: r for r in check(docs)}

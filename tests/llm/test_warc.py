@@ -6,6 +6,7 @@ from hashlib import sha1
 
 import zstandard
 from corpus_helpers import DATA
+from pyspark.sql import functions as F
 
 from commerce_lake.llm import queries, warc
 
@@ -50,3 +51,14 @@ def test_query(spark):
             again = len(payload) >= 1000 and i != max(ids)
             want.add((i, len(payload), sha1(payload).hexdigest(), "revisit" if again else "response", max(ids) if again else None))
     assert {tuple(r) for r in queries.op2_warc_bundles(spark, str(DATA)).collect()} == want
+
+
+def test_frames_are_read_back_by_many_tasks(spark, tmp_path):
+    """Tasks follow the bytes of the records, not those of the index; a frame stays in one task."""
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "concat(id, repeat(uuid(), 1000)) AS html")
+    index = warc.write_bundles(pages.coalesce(1), str(tmp_path))
+    out = warc.read_bundles(index, task_bytes=1 << 20)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert out.rdd.getNumPartitions() == index.agg({"bytes": "sum"}).first()[0] // (1 << 20) + 1 > 10
+    tasks = out.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert sum(r["count"] for r in tasks) == 400 and len(tasks) > 1
