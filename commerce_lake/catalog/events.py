@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commerce_lake.catalog import query
 from commerce_lake.schemas import SEQ, TABLES
-from commerce_lake.sources import cdc
+from commerce_lake.sources import cdc, versions
 
 
 def source_rows(fx, name):
@@ -72,3 +73,35 @@ def _cdc_drop_deletes(fx):
     return cdc.flatten(cdc.parse_json_events(events, spec), spec).select(
         *[F.col(f.name).cast(f.dataType) for f in spec.bronze_schema().fields], SEQ
     )
+
+
+_OLD = "1995-01-01"
+
+
+def old_order():
+    """The record that the first order service wrote: a number for the amount, no user, another name for the status."""
+    record = T.StructType().add("order_id", "integer").add("status", "string").add("total_amount", "double")
+    return record.add("created_at", "long").add("updated_at", "long"), {"order_status": "status"}
+
+
+def order_readers(spec):
+    wire = cdc.envelope_schema(spec)["after"].dataType
+    return {7: versions.json_reader(spec, *old_order()), 1042: versions.json_reader(spec, wire)}
+
+
+@query(
+    "cdc_schema_versions",
+    f"SELECT * REPLACE (CASE WHEN created_at < TIMESTAMP '{_OLD}' THEN 0 ELSE user_id END AS user_id) FROM t_order",
+)
+def _cdc_schema_versions(fx):
+    """Orders of two services in one batch, each message read by the schema that it names."""
+    spec, rows = TABLES["order"], fx["order"]
+    old = F.col("created_at") < F.lit(_OLD).cast("timestamp")
+    earlier = F.struct(
+        "order_id", F.col("order_status").alias("status"), F.col("total_amount").cast("double").alias("total_amount"),
+        F.unix_micros("created_at").alias("created_at"), F.unix_micros("updated_at").alias("updated_at"),
+    )
+    first = rows.where(old).select(SEQ, versions.frame(F.to_json(F.struct(earlier.alias("after"))), 7).alias("value"))
+    newer = cdc.to_json_events(rows.where(~old), spec).withColumn("value", versions.frame(F.col("value"), 1042))
+    events = first.unionByName(newer.select(SEQ, "value"))
+    return cdc.to_bronze(cdc.flatten(versions.parse_versions(events, spec, order_readers(spec)), spec), spec)
