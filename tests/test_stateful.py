@@ -164,3 +164,52 @@ def test_failure_rate_kept_by_deltas_is_the_batch_view_after_every_batch(spark,
         for day in range(1, 4):
             want = tuple(live.payment_failure_rate(payments.frame(), f"2024-01-0{day} 12:00:00", "UTC").first())
             assert got.get(dt.date(2024, 1, day), (0, 0, None)) == want
+
+
+def _many_orders(spark, n):
+    at_ = F.lit("2024-01-01 10:00:00").cast("timestamp")
+    return spark.range(n).select(
+        F.col("id").alias("order_id"), (F.col("id") % 3).alias("user_id"), F.lit("created").alias("order_status"),
+        F.lit(None).cast("decimal(18,2)").alias("total_amount"), at_.alias("created_at"), at_.alias("updated_at"), F.col("id").alias("_seq"),
+    )
+
+
+def _many_items(spark, n):
+    at_ = F.lit("2024-01-01 10:00:00").cast("timestamp")
+    price = (F.col("id") % 100).cast("decimal(18,2)").alias("price")
+    return spark.range(n).select(F.col("id").alias("order_item_id"), (F.col("id") % 50).alias("order_id"), F.lit(1).alias("quantity"), price, at_.alias("updated_at"), F.lit(0).cast("long").alias("_seq"))
+
+
+@pytest.mark.parametrize("kind", ["last_seen", "stuck", "revenue", "payment"])
+def test_a_micro_batch_calls_a_block_once_and_not_each_key(spark, tmp_path, kind):
+    """State rows, timers included, follow the blocks, however many keys there are."""
+    folder, n = str(tmp_path / "in"), 20_000
+
+    def read(df, name=""):
+        df.write.parquet(folder + name)
+        return spark.readStream.schema(df.schema).parquet(folder + name)
+
+    orders = _many_orders(spark, n)
+    if kind == "last_seen":
+        stream = stateful.last_seen(read(orders), "order_id")
+    elif kind == "stuck":
+        stream = stateful.stuck_orders(read(orders))
+    elif kind == "revenue":
+        done = orders.withColumn("order_status", F.lit("completed"))
+        stream = stateful.revenue_deltas(read(done), read(_many_items(spark, n), "_items"))
+    else:
+        paid = orders.select("order_id", F.lit("failed").alias("status"), F.col("created_at").alias("payment_date"), "updated_at", "_seq")
+        stream = stateful.payment_deltas(read(paid))
+    with rocksdb_state(spark):
+        query = write_batches(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), once=True)
+        query.awaitTermination()
+    states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(states) <= 3 * stateful.BLOCKS
+    out = read_batches(spark, str(tmp_path / "table"), stream.schema).drop("batch_id")
+    if kind == "last_seen":
+        assert out.count() == n and out.select("order_id").distinct().count() == n
+    elif kind == "revenue":
+        mart = stateful.summed(out, ["sales_day", "hour"]).collect()
+        assert [tuple(r)[2:] for r in mart] == [(50, n, decimal.Decimal(sum(k % 100 for k in range(n))))]
+    elif kind == "payment":
+        assert [tuple(r)[1:] for r in stateful.summed(out, ["payment_day"]).collect()] == [(n, n)]
