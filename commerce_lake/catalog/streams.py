@@ -63,16 +63,22 @@ def _order_batches(fx, batches: int = 4) -> DataFrame:
     return reader.parquet(folder)
 
 
-def _in_time(fx, table: DataFrame, at: str = "updated_at", batches: int = 4) -> DataFrame:
-    """A table as a stream of micro-batches, each of a span of time after the one before."""
+def _in_time(fx, table: DataFrame, at: str = "updated_at", batches: int = 4, file_rows: int = 500_000) -> DataFrame:
+    """A table as a stream of micro-batches, each of a span of time after the one before.
+
+    A span is written by several tasks where all spans have rows for as many files, so that each is one micro-batch.
+    """
     folder = work_dir(fx.spark, "spans")
     first, last = table.agg(F.min(F.unix_seconds(at)), F.max(F.unix_seconds(at))).first()
     span = ((last or 0) - (first or 0)) // batches + 1
+    nth = F.floor((F.unix_seconds(at) - (first or 0)) / span)
+    sizes = {r[0]: r[1] for r in table.where(F.col(at).isNotNull()).groupBy(nth).count().collect()}
+    files = max(1, min(sizes.get(k, 0) for k in range(batches)) // file_rows)
     for k in range(batches):
         start = (first or 0) + k * span
-        inside = (F.unix_seconds(at) >= start) & (F.unix_seconds(at) < start + span)
-        table.where(inside).coalesce(1).write.mode("append").parquet(folder)
-    return fx.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        inside = table.where((F.unix_seconds(at) >= start) & (F.unix_seconds(at) < start + span))
+        (inside.repartition(files) if files > 1 else inside.coalesce(1)).write.mode("append").parquet(folder)
+    return fx.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _mart(fx, deltas: DataFrame, purpose: str, keys: Sequence[str]) -> DataFrame:
