@@ -139,7 +139,10 @@ def final_orders(fx: Fixtures) -> DataFrame:
 
 
 def _item_line(fx: Fixtures) -> DataFrame:
-    """Order items without creation time, which only the order knows."""
+    """Order items without creation time, which only the order knows.
+
+    Joins with all orders are merge joins: compressed files look small enough to be broadcast.
+    """
     price = _money("l_extendedprice")
     return fx.source("lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
@@ -153,7 +156,7 @@ def _item_line(fx: Fixtures) -> DataFrame:
 
 
 def _order_item(fx: Fixtures) -> DataFrame:
-    created = final_orders(fx).select("order_id", "created_at")
+    created = final_orders(fx).select("order_id", "created_at").hint("merge")
     return fx["item_line"].join(created, "order_id").select(*TABLES["order_item"].columns, SEQ)
 
 
@@ -214,9 +217,8 @@ def _shipping(fx: Fixtures) -> DataFrame:
 
 def _product_review(fx: Fixtures) -> DataFrame:
     item = F.col("order_item_id")
-    sold = fx["order_item"].join(
-        final_orders(fx).where(F.col("order_status") == "completed").select("order_id", "user_id"), "order_id"
-    )
+    completed = final_orders(fx).where(F.col("order_status") == "completed").select("order_id", "user_id")
+    sold = fx["order_item"].join(completed.hint("merge"), "order_id")
     return sold.select(
         item.alias("review_id"),
         "product_id",
