@@ -33,6 +33,7 @@ from commerce_lake.schemas import SEQ
 FORMAT = "change_log"
 _SEGMENT = re.compile(r"(\d+)-(\d+)\.log")
 _GROUPS = "_groups"
+TASK_ROWS = 250_000
 
 
 class OffsetsLost(RuntimeError):
@@ -77,26 +78,36 @@ def _put(fs: files.FileSystem, root: str, partition: int, first: int, messages:
     fs.move(hidden, posixpath.join(folder, segment_name(first, first + len(messages))))
 
 
-def write_log(events: DataFrame, path: str, partitions: int, segment_rows: int = 10_000) -> int:
-    """The `value` column of a table as a new log, each partition written by one task; returns the messages.
+def write_log(events: DataFrame, path: str, partitions: int, segment_rows: int = 10_000, task_rows: int = TASK_ROWS) -> int:
+    """The `value` column of a table as a new log; returns the messages.
 
-    Messages are dealt by their own hash and sorted, so a task that is repeated writes the same files again.
+    Messages are dealt by their own hash to tasks of about `task_rows`, several for a partition of the
+    log, and sorted, so a task that is repeated writes the same files again. They are counted by task
+    first, which gives each task the offset it starts at.
     """
+    values = events.select(F.coalesce("value", F.lit("")).alias("value"))
+    tasks = partitions * max(1, -(-values.count() // (partitions * task_rows)))
+    dealt = values.withColumn("task", F.pmod(F.xxhash64("value"), F.lit(tasks)).cast("int"))
+    counts = dict(dealt.groupBy("task").count().collect()) if tasks > partitions else {}
+    begin, ends = {}, [0] * partitions
+    for task in range(tasks):
+        begin[task] = ends[task % partitions]
+        ends[task % partitions] += counts.get(task, 0)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(path)
-        partition, first, waiting = TaskContext.get().partitionId(), 0, []
+        task, messages, waiting = TaskContext.get().partitionId(), 0, []
         for batch in batches:
             waiting += batch.column(0).to_pylist()
             while len(waiting) >= segment_rows:
-                _put(fs, root, partition, first, waiting[:segment_rows])
-                first, waiting = first + segment_rows, waiting[segment_rows:]
+                _put(fs, root, task % partitions, begin[task] + messages, waiting[:segment_rows])
+                messages, waiting = messages + segment_rows, waiting[segment_rows:]
         if waiting:
-            _put(fs, root, partition, first, waiting)
-        yield pa.RecordBatch.from_arrays([pa.array([first + len(waiting)], pa.int64())], ["messages"])
+            _put(fs, root, task % partitions, begin[task] + messages, waiting)
+        yield pa.RecordBatch.from_arrays([pa.array([messages + len(waiting)], pa.int64())], ["messages"])
 
-    dealt = events.select(F.coalesce("value", F.lit("")).alias("value")).repartition(partitions, "value").sortWithinPartitions("value")
-    return dealt.mapInArrow(write, "messages long").agg(F.sum("messages")).first()[0] or 0
+    placed = dealt.repartitionById(tasks, "task").select("value").sortWithinPartitions("value")
+    return placed.mapInArrow(write, "messages long").agg(F.sum("messages")).first()[0] or 0
 
 
 def _segments(fs: files.FileSystem, root: str) -> dict[int, list[Segment]]:

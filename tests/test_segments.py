@@ -6,6 +6,7 @@ import pytest
 
 from commerce_lake.plans.daily import Lake
 from commerce_lake.schemas import TABLES
+from commerce_lake.sources import segments
 from commerce_lake.sources.segments import append_segment, read_events, write_log
 from commerce_lake.streaming import ingest
 from commerce_lake.streaming.sinks import read_batches, write_batches
@@ -100,3 +101,21 @@ def test_ingest_from_segments(spark, run, tmp_path):
     load()
     rows = lake.read_bronze(spec, "hot").orderBy("_seq").collect()
     assert [(r["_seq"], r.order_status) for r in rows] == [(0, "created"), (2, "completed")]
+
+
+def test_a_partition_is_written_by_several_tasks_without_gaps(spark, tmp_path):
+    """Task size is bounded whatever the number of partitions; offsets run on from task to task."""
+    events = spark.range(1000).selectExpr("CAST(id % 700 AS STRING) AS value")
+    folder = str(tmp_path / "log")
+    assert segments.write_log(events, folder, partitions=2, segment_rows=40, task_rows=60) == 1000
+    found = segments._segments(*segments._open(folder))
+    assert sorted(found) == [0, 1]
+    values = []
+    for parts in found.values():
+        assert parts[0].first == 0 and all(a.end == b.first for a, b in zip(parts, parts[1:]))
+        assert any(s.end - s.first < 40 for s in parts[:-1])  # more than one task
+        for s in parts:
+            lines = open(s.path).read().split("\n")[:-1]
+            assert len(lines) == s.end - s.first
+            values += lines
+    assert sorted(values) == sorted(str(k % 700) for k in range(1000))
