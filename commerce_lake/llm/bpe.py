@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from commerce_lake.llm.common import SLICE_ROWS, slices, text_or_empty
 
 PIECE_BYTES = 1024
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
+CACHED_BYTES = 64  # longer chunks are rare, and would let the cache grow with their length
 
 #: Text of this kind needs no normaliser but lower(): ASCII and composed Latin-1 letters.
 _PLAIN = re.compile(r"[!-~À-ÿ]+").fullmatch
@@ -59,6 +60,8 @@ class _Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > CACHED_BYTES:
+            return value
         if len(self) >= self.size // 2:
             self.older = dict(self)
             self.clear()

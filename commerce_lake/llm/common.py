@@ -16,22 +16,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 SLICE_ROWS = 512
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2048  # of whole texts that the JVM and Python hold at once while a table is stored
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written as Parquet to the cluster's shared folder and read again.
 
     Cuts the lineage: what is read back does not depend on any executor. Shuffle files of the
-    write are given up at its end, as the table replaces them.
+    write are given up at its end, as the table replaces them. Batches to Python have at most
+    BATCH_ROWS rows.
     """
     spark: SparkSession = df.sparkSession
     path = work_dir(spark, purpose)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    rows = int(spark.conf.get(_BATCH_ROWS))
+    during = {_CLEANUP: "true", _BATCH_ROWS: str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)}
+    before = {_CLEANUP: spark.conf.get(_CLEANUP, "false"), _BATCH_ROWS: str(rows)}
+    for name, value in during.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
