@@ -51,16 +51,20 @@ def _order_stream(fx) -> DataFrame:
     return order_versions(table_stream(fx, "orders"))
 
 
+def _dealt(fx, table: DataFrame, keys: Sequence[str], purpose: str, batches: int = 4, file_rows: int = 500_000) -> DataFrame:
+    """A table as a stream of about `batches` micro-batches, dealt by `keys`; a larger one has several files in each, for as many tasks."""
+    folder = work_dir(fx.spark, purpose)
+    files = max(1, table.count() // (batches * file_rows))
+    table.repartition(batches * files, *keys).write.parquet(folder)
+    return fx.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 def _order_batches(fx, batches: int = 4) -> DataFrame:
     """All order versions as a stream of several micro-batches, dealt by id and version.
 
     The versions of an order come in different batches, and the older one may come later.
     """
-    folder = work_dir(fx.spark, "order_batches")
-    versions = fx["order"]
-    versions.repartition(batches, "order_id", "_seq").write.parquet(folder)
-    reader = fx.spark.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(folder)
+    return _dealt(fx, fx["order"], ["order_id", "_seq"], "order_batches", batches)
 
 
 def _in_time(fx, table: DataFrame, at: str = "updated_at", batches: int = 4, file_rows: int = 500_000) -> DataFrame:
@@ -223,9 +227,7 @@ def _stuck_order_timers(fx):
 def _stream_order_revenue(fx):
     """Sales of all days and hours, kept by deltas over micro-batches that mix early and late versions."""
     items = fx["item_line"].select("order_item_id", "order_id", "quantity", "price", "updated_at", "_seq")
-    folder = work_dir(fx.spark, "item_batches")
-    items.repartition(4, "order_item_id", "_seq").write.parquet(folder)
-    lines = fx.spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    lines = _dealt(fx, items, ["order_item_id", "_seq"], "item_batches")
     return _mart(fx, stateful.revenue_deltas(_order_batches(fx), lines), "order_revenue", ["sales_day", "hour"])
 
 
@@ -237,8 +239,5 @@ def _stream_order_revenue(fx):
 )
 def _stream_payment_failure_rate(fx):
     """Failure rates of all days, kept by deltas while newer attempts replace failed ones."""
-    payments = fx["payment"]
-    folder = work_dir(fx.spark, "payment_batches")
-    payments.repartition(4, "payment_id").write.parquet(folder)
-    stream = fx.spark.readStream.schema(payments.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = _dealt(fx, fx["payment"], ["payment_id"], "payment_batches")
     return stateful.failure_rates(_mart(fx, stateful.payment_deltas(stream), "payment_rate", ["payment_day"]))
