@@ -81,6 +81,11 @@ def history(fx, dim, before=None):
     )
 
 
+def history_of(fx, dim, ids):
+    """The history of the ids that stand in `ids`."""
+    return scd2.history(dim, silver(fx, dim.source), changes(fx, dim), INITIAL_DAY, ids=ids)
+
+
 def _versions(dim: scd2.Dimension, where: str = "") -> str:
     attributes = ", ".join(a for a, _ in dim.attributes)
     n = dim.natural

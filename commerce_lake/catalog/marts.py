@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from commerce_lake.catalog import DAY, query
-from commerce_lake.catalog.dimensions import history, silver
+from commerce_lake.catalog.dimensions import history, history_of, silver
 from commerce_lake.catalog.views import VIEWS, latest
+from commerce_lake.functions.time import on_day
 from commerce_lake.operators import scd2
 from commerce_lake.operators.dedup import latest_among, latest_by_key
 from commerce_lake.operators.joins import asof_inner, asof_left, left_join_default
@@ -62,9 +63,11 @@ def newest(fx, name, key):
 
 
 def fact_order(fx, day=DAY):
+    """Only users with an order of the day are looked up, so only their versions are ranked."""
+    orders = newest(fx, "order", "order_id")
     return facts.fact_order(
-        newest(fx, "order", "order_id"),
-        history(fx, scd2.DIM_USER),
+        orders,
+        history_of(fx, scd2.DIM_USER, facts.orders_of(orders, day)),
         silver(fx, "shipping"),
         silver(fx, "payment"),
         day,
@@ -79,7 +82,8 @@ def _fact_order(fx):
 @query("fact_order_detail", "SELECT * FROM f_detail_day")
 def _fact_order_detail(fx):
     items = newest(fx, "order_item", "order_item_id")
-    return facts.fact_order_detail(items, history(fx, scd2.DIM_PRODUCT), history(fx, scd2.DIM_CATEGORY), DAY)
+    products = history_of(fx, scd2.DIM_PRODUCT, items.where(on_day(F.col("created_time"), DAY)))
+    return facts.fact_order_detail(items, products, history(fx, scd2.DIM_CATEGORY), DAY)
 
 
 @query(
@@ -94,10 +98,11 @@ def _fact_order_detail(fx):
        GROUP BY 1, 2, 3, 4, 5, 6""",
 )
 def _daily_transaction(fx):
-    """Only items of the day's orders are ranked and looked up; their details are those of any day."""
+    """Only items of the day's orders, and versions of their products, are ranked; details are those of any day."""
     orders = facts.orders_of(newest(fx, "order", "order_id"), DAY).select("order_id")
     items = latest_among(silver(fx, "order_item"), "order_item_id", orders, "order_id", "updated_time")
-    detail = facts.fact_order_detail(items, history(fx, scd2.DIM_PRODUCT), history(fx, scd2.DIM_CATEGORY), None)
+    products = history_of(fx, scd2.DIM_PRODUCT, items)
+    detail = facts.fact_order_detail(items, products, history(fx, scd2.DIM_CATEGORY), None)
     return marts.daily_transaction(fact_order(fx), detail, history(fx, scd2.DIM_CATEGORY), DAY)
 
 

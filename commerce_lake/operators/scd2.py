@@ -154,13 +154,19 @@ def apply_day(dim: Dimension, versions: DataFrame, changes: DataFrame, day: Day)
     return seen.unionByName(open_versions(dim, touched, day))
 
 
-def history(dim: Dimension, initial: DataFrame, changes: DataFrame, day: Day, before: Day | None = None) -> DataFrame:
+def history(
+    dim: Dimension, initial: DataFrame, changes: DataFrame, day: Day, before: Day | None = None, ids: DataFrame | None = None
+) -> DataFrame:
     """All versions that an initial load on `day` and the changes of every day give, in one go.
 
     The same rows as applying the days one after the other: the last change of an id on a day
     starts a version, and the next start of the id ends it. With `before`, only earlier changes
-    count.
+    count. With `ids`, the versions of the ids that stand there; others are left out before they
+    are cleaned and ranked, which is exact, as an id's versions come from its own rows.
     """
+    if ids is not None:
+        asked = ids.select(dim.natural).distinct()
+        initial, changes = (rows.join(asked, dim.natural, "left_semi") for rows in (initial, changes))
     start = F.to_date("updated_time")
     if before is not None:
         changes = changes.where(start < as_date(before))

@@ -99,3 +99,14 @@ def test_keys_of_versions(spark, empty):
     row = scd2.new_versions(DIM, log, "2024-01-01").first()
     expected = spark.range(1).select(surrogate_key(F.lit(1), "2024-01-01")).first()[0]
     assert row.category_key == expected and row.parent_id == 0 and row.end_date is None
+
+
+def test_history_of_some_ids(spark):
+    """The rows of the whole history with these ids; asked ones may repeat, be missing or unknown."""
+    changes = spark.createDataFrame([*random_changes(7), (None, "no id", 1, dt.datetime(2024, 1, 2), 900)], CHANGES)
+    initial = spark.createDataFrame([(k, f"first{k}", None, dt.datetime(2023, 1, 1), k) for k in range(20)], CHANGES)
+    asked = spark.createDataFrame([(3,), (3,), (None,), (11,), (15,), (99,)], "category_id bigint")
+    whole = scd2.history(DIM, initial, changes, "2023-01-01").where(F.col("category_id").isin(3, 11, 15))
+    some = scd2.history(DIM, initial, changes, "2023-01-01", ids=asked)
+    assert some.columns == whole.columns and some.count() > 3
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
