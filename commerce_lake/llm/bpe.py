@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding with the vocabulary of a tokenizer file.
 
 Texts are split at ASCII white space, which no token crosses, and each distinct chunk is encoded
-once per worker. Long unsplit text goes another way: it is cut in pieces that different tasks
+once per worker, of plain text each distinct word. Long unsplit text goes another way: it is cut in pieces that different tasks
 encode, and neighbouring pieces are concatenated up a tree. At each join a window around it is
 encoded again and grows until its first and last tokens are those the two sides have there. As
 every pair of neighbouring tokens is then one that BPE leaves alone, the joined tokens are the
@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from commerce_lake.llm.common import SLICE_ROWS, slices, text_or_empty
 
 PIECE_BYTES = 1024
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000  # words; of chunks, which only text that is not plain has, a third
 CACHED_BYTES = 64  # longer chunks are rare, and would let the cache grow with their length
 
 #: Text of this kind needs no normaliser but lower(): ASCII and composed Latin-1 letters.
 _PLAIN = re.compile(r"[!-~À-ÿ]+").fullmatch
-#: The pre-tokens of such text, as the tokenizer file splits it.
-_PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The same with the white space between chunks.
+_PLAIN_TEXT = re.compile(r"[!-~À-ÿ\x20\x09-\x0D]*").fullmatch
+#: The pre-tokens of such text, as the tokenizer file splits it. None holds white space.
+_PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\x20\x09-\x0D]+")
 _BPE_KIND = {"type": "BPE", "end_of_word_suffix": "</w>"}
 
 
@@ -98,7 +100,7 @@ class Vocabulary:
         alphabet = _byte_alphabet()
         self._letters = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}
         self.words = _Recent(self._word, CACHE_ENTRIES)
-        self.chunks = _Recent(self._chunk, CACHE_ENTRIES)
+        self.chunks = _Recent(self._chunk, CACHE_ENTRIES // 3)
 
     @functools.cached_property
     def inner_model(self):
@@ -119,7 +121,14 @@ class Vocabulary:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text."""
+        """Ids of a whole text.
+
+        Plain text goes word by word: it has far fewer different words than chunks, which are words
+        with the marks around them.
+        """
+        if _PLAIN_TEXT(text) and "<|" not in text:
+            words = self.words
+            return b"".join([words[w] for w in _PARTS.findall(text.lower())])
         chunks = self.chunks
         return b"".join([chunks[c] for c in text.encode("utf-8").split()])
 

@@ -73,3 +73,17 @@ def test_query(spark, library):
         want = (len(own), sha256(packed(own)).hexdigest(), sha256(library.decode(own, skip_special_tokens=False).encode()).hexdigest())
         r = got[row.doc_id]
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+
+
+def test_plain_text_goes_by_words(library):
+    """A word is encoded once, whatever marks stand around it; the ids are those of the library."""
+    voc, rng = bpe.Vocabulary(PATH), random.Random(8)
+    signs = "aZ09é×÷ßÿÀ'\"-.,<| \t\n\x0b\x0c\r"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(500)]
+    for text in [*texts, "don't I'LL 'S x's'", "É É", "a\x1cb a\x85b a\xa0b", "plain <|endoftext|> plain", ""]:
+        assert voc.encode(text) == packed(ids(library, text)), repr(text)
+    voc, words = bpe.Vocabulary(PATH), []
+    make = voc.words.make
+    voc.words.make = lambda w: words.append(w) or make(w)
+    voc.encode("bridge, (Bridge) 'bridge' bridge. bridge;\tBRIDGE!")
+    assert words.count("bridge") == 1 and not voc.chunks
