@@ -17,7 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_ROWS = 512
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 2048  # of whole texts that the JVM and Python hold at once while a table is stored
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+# What the JVM and Python hold of whole texts at once while a table is stored.
+BATCH_ROWS = 2048
+BATCH_BYTES = 4 << 20
+READ_ROWS = 512
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -25,13 +30,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
     Cuts the lineage: what is read back does not depend on any executor. Shuffle files of the
     write are given up at its end, as the table replaces them. Batches to Python have at most
-    BATCH_ROWS rows.
+    BATCH_ROWS rows and end with the row that passes BATCH_BYTES; Parquet is read READ_ROWS rows at a time.
     """
     spark: SparkSession = df.sparkSession
     path = work_dir(spark, purpose)
-    rows = int(spark.conf.get(_BATCH_ROWS))
+    rows, read = int(spark.conf.get(_BATCH_ROWS)), int(spark.conf.get(_READ_ROWS))
     during = {_CLEANUP: "true", _BATCH_ROWS: str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)}
+    during |= {_BATCH_BYTES: str(BATCH_BYTES), _READ_ROWS: str(min(read, READ_ROWS))}
     before = {_CLEANUP: spark.conf.get(_CLEANUP, "false"), _BATCH_ROWS: str(rows)}
+    before |= {_BATCH_BYTES: spark.conf.get(_BATCH_BYTES), _READ_ROWS: str(read)}
     for name, value in during.items():
         spark.conf.set(name, value)
     try:

@@ -405,7 +405,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     long_ = rows.where(F.octet_length("text") >= LENGTH)
     order = ["key", "content", "id", "tie", "start"]
     segments = long_.mapInArrow(_segments, _SEG).repartition("key").sortWithinPartitions(*order)
-    compared = stored(segments.mapInArrow(_compared(HOT_ANCHOR), _OUT), "segments")
+    # what is left is small for the tasks that find it: few files of full size
+    compared = stored(segments.mapInArrow(_compared(HOT_ANCHOR), _OUT).hint("rebalance", "id"), "segments")
     copies = compared.where("kind = 0").select("id", "tie", "start", (F.col("start") + F.col("count")).alias("end"))
     open_ = compared.where("kind = 1")
     # strings of crowded anchors come one by one
@@ -414,8 +415,18 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     blocks = max(1, -(-total // BLOCK_BYTES))
     per_doc = open_.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "count", "anchor", "members")).alias("segments"))
     cut = long_.join(per_doc, ["id", "tie"]).mapInArrow(_texts_of_segments(blocks, HOT_ANCHOR), _BLOCK)
-    indexed = stored(cut.groupBy("block").applyInArrow(_indexed, "id long, tie long, start long, end long"), "block_spans")
-    return copies.union(indexed)
+    indexed = cut.groupBy("block").applyInArrow(_indexed, "id long, tie long, start long, end long")
+    return copies.union(stored(indexed.hint("rebalance", "id"), "block_spans"))
+
+
+def _maximal(spans: DataFrame) -> DataFrame:
+    """Touching intervals of a row made one."""
+    by_start = Window.partitionBy("id", "tie").orderBy("start")
+    before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("start") > F.col("before"), F.lit(True)).cast("long")
+    nth = F.sum(new).over(by_start.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = spans.withColumn("before", before).withColumn("nth", nth)
+    return numbered.groupBy("id", "tie", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -426,25 +437,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the hash of their text, and are earlier or later by it. A missing text is empty.
     """
     rows = _distinct_rows(df, id_col, text_col)
-    spans = repeated_spans(rows).groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            merged, kept = [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                own = []
-                for s in sorted((s["start"], s["end"]) for s in found or ()):
-                    if own and s[0] <= own[-1][1]:
-                        own[-1][1] = max(own[-1][1], s[1])
-                    else:
-                        own.append(list(s))
-                edges = [0, *(x for s in own for x in s), len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                merged.append([{"start": a, "end": b} for a, b in own])
-            sizes = [len(t) for t in batch.column("text").to_pylist()]
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(merged, span), pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
-
-    out = rows.join(spans, ["id", "tie"], "left").select("id", "text", "spans")
-    out = out.mapInArrow(keep, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.select(F.nullif("id", F.lit((1 << 63) - 1)).alias(id_col), "n_bytes", "spans", "kept")
+    spans = _maximal(repeated_spans(rows)).groupBy("id", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    size, none = F.octet_length("text"), F.array().cast("array<struct<start:long,end:long>>")
+    out = rows.join(spans, ["id", "tie"], "left").select("id", "text", size.cast("long").alias("n_bytes"), F.coalesce("spans", none).alias("spans"))
+    # what lies between the spans, joined as strings: Latin-1 has one character for each byte
+    begin, end = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["end"].cast("int"))), F.transform("spans", lambda s: s["start"].cast("int"))
+    pieces = F.zip_with(begin, F.concat(end, F.array(size)), lambda a, b: F.decode(F.substr("text", a + 1, b - a), "ISO-8859-1"))
+    kept = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.encode(F.array_join(pieces, ""), "ISO-8859-1"))
+    return out.select(F.nullif("id", F.lit((1 << 63) - 1)).alias(id_col), "n_bytes", "spans", kept.alias("kept"))

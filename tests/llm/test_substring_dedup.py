@@ -58,6 +58,48 @@ def test_edge_cases(docs, no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_no_batch_of_texts_after_the_last_table(spark):
+    """What is left is cut out by row: the session's batches to Python, of any size, hold no text."""
+    last = substring_dedup.remove_repeats(spark.createDataFrame(made(5), "doc_id long, text string"))
+    assert "MapInArrow" not in last._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_files_for_what_few_texts_share(spark, monkeypatch):
+    """Many tasks look at the segments of texts that share next to nothing; the table is one small file."""
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    conf |= {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    before, files, store = {n: spark.conf.get(n) for n in conf}, {}, substring_dedup.stored
+
+    def kept(df, purpose):
+        table = store(df, purpose)
+        files[purpose] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(substring_dedup, "stored", kept)
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.integers(97, 123, 2000).astype(np.uint8).tobytes().decode()) for k in range(300)]
+    rows.append((300, rows[0][1][500:700]))
+    try:
+        for n, v in conf.items():
+            spark.conf.set(n, v)
+        spans = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("size(spans) > 0").collect()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    assert [(r["doc_id"], digest(r)[:3]) for r in spans] == [(300, (200, 200, 1))]
+    assert files["segments"] == 1
+
+
+def test_every_byte_is_kept(spark):
+    """Control characters and characters that a span cuts in two, before, between and behind the spans."""
+    shared = "é" * 49 + "日" + "x" * 60
+    odd = "".join(map(chr, range(256))) + "日本👍🏽\x00\x85"
+    rows = [(1, shared + odd), (2, odd + "日" * 40 + shared + odd[::-1] + shared[1:]), (3, "è" + shared[1:] + "ç"), (4, odd)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: digest(r) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == dict(zip((i for i, _ in rows), brute([t.encode() for _, t in rows])))
+
+
 def test_index_of_a_block():
     rng = np.random.default_rng(4)
     data = rng.integers(97, 100, 3000).astype(np.uint8).tobytes() * 2
